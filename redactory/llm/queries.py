@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from .bpe import byte_bpe
 from .exact_dedup import exact_dedup
 from .hilbert import hilbert_shards
+from . import pii_crf, quality_model
+from .mixing import mixture
 from .quality_rules import RULES, quality_rules
+from .simhash import near_duplicates
 from .warc import warc_round_trip
 
 VOCABULARY, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -19,17 +22,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = warc_round_trip(table(spark, sf_dir, "pages"))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = pii_crf.find_pii(docs, pii_crf.train(docs))
+    told = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    counts = [F.expr(f"bigint(size(filter(base, x -> x.kind = '{k}')))").alias(f"n_{k}") for k in pii_crf.KINDS]
+    return out.select(F.col("id").alias("doc_id"), *counts, F.sha2(told("base"), 256).alias("base_sha256"), told("spans").alias("spans"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules(table(spark, sf_dir, "documents"))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return out.select(F.col("id").alias("doc_id"), *base, F.round("posterior", 6).alias("posterior"), *(f"vote_{k}" for k in RULES))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixture(table(spark, sf_dir, "documents"))
+    return out.withColumnRenamed("id", "doc_id").withColumn("weight", F.round("weight", 9))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -40,12 +61,18 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_model.score(docs, model, keep=["doc_id"])
+
+
 def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = hilbert_shards(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
-QUERIES = {f.__name__: f for f in (op3_warc, op5_quality_rules, op7_exact_dedup, op8_byte_bpe, op10_hilbert_shards)}
+QUERIES = {f.__name__: f for f in (op2_simhash, op3_warc, op4_pii, op5_quality_rules, op6_mixing, op7_exact_dedup, op8_byte_bpe, op9_quality_model, op10_hilbert_shards)}
 
 ORACLE_SQL = {
     "op7_exact_dedup": """
