@@ -13,6 +13,7 @@ from . import pii_crf, quality_model
 from .mixing import mixture
 from .quality_rules import RULES, quality_rules
 from .simhash import near_duplicates
+from .suffix_dedup import remove_repeats
 from .warc import warc_round_trip
 
 VOCABULARY, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -22,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
@@ -72,7 +78,7 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op3_warc, op4_pii, op5_quality_rules, op6_mixing, op7_exact_dedup, op8_byte_bpe, op9_quality_model, op10_hilbert_shards)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_simhash, op3_warc, op4_pii, op5_quality_rules, op6_mixing, op7_exact_dedup, op8_byte_bpe, op9_quality_model, op10_hilbert_shards)}
 
 ORACLE_SQL = {
     "op7_exact_dedup": """
