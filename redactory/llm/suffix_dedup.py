@@ -2,7 +2,7 @@
 
 A byte is removed where a string of `length` bytes that covers it also starts in a document with a smaller id.
 Only the first `length` bytes of a suffix matter, so a suffix array here is the sorted list of those prefixes, each
-with its document. Suffixes.add() takes batches in order of document id: it sorts the batch (its suffix array),
+with its document (truncated suffix array). Suffixes.add() takes batches in order of document id: it sorts the batch (its suffix array),
 merge-scans it against the levels, returns for each suffix the smallest earlier document that has the prefix, and
 appends what is new as a level; while a level is at most twice as large as the next, the two are merged.
 
@@ -27,7 +27,6 @@ binary; an empty table gives no rows. Columns besides the id and the text are no
 from __future__ import annotations
 
 import uuid
-from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -43,38 +42,50 @@ C1, C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 class Suffixes:
-    """Levels of sorted prefixes. An entry is the prefix's length (2 bytes), the prefix and its document (8 bytes)."""
+    """Levels of (sorted prefixes, the smallest document of each). Prefixes are fixed-width byte strings."""
 
     def __init__(self):
-        self.levels: list[list[bytes]] = []
-
-    def add(self, keys: list[bytes], docs: list[int]) -> list[int]:
-        """For each key the smallest document that holds it, in this batch or an earlier one. No document of an
-        earlier batch may be larger than one of this."""
-        size = [len(k).to_bytes(2, "big") + k for k in keys]
-        order = sorted(range(len(keys)), key=lambda i: (size[i], docs[i]))
-        out, new, at = [0] * len(keys), [], [0] * len(self.levels)
-        before, first = None, 0
-        for i in order:
-            key = size[i]
-            if key != before:
-                before, first = key, None
-                for k, level in enumerate(self.levels):
-                    at[k] = j = bisect_left(level, key, at[k])
-                    if j < len(level) and level[j][:-8] == key:
-                        first = int.from_bytes(level[j][-8:], "big") - (1 << 63)
-                        break
-                if first is None:
-                    first = docs[i]
-                    new.append(key + (first + (1 << 63)).to_bytes(8, "big"))
-            out[i] = first
-        self.levels.append(new)
-        while len(self.levels) > 1 and len(self.levels[-2]) <= 2 * len(self.levels[-1]):
-            last = self.levels.pop()
-            self.levels[-1] = sorted(self.levels[-1] + last)  # two sorted runs: one merge
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, keys: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """For each key the smallest document that holds it, in this batch or an earlier one. docs ascend, and no
+        document of an earlier batch may be larger than one of this."""
+        order = np.argsort(keys, kind="stable")  # the batch's suffix array; ties by document
+        ranked = keys[order]
+        head = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+        own, first = ranked[head], docs[order[head]]
+        new = np.ones(len(own), bool)
+        for level, of in self.levels:
+            at = np.minimum(np.searchsorted(level, own), len(level) - 1)
+            hit = level[at] == own
+            first[hit], new[hit] = of[at[hit]], False
+        out = np.empty(len(keys), np.int64)
+        out[order] = np.repeat(first, np.diff(np.append(head, len(keys))))
+        if new.any():
+            self.levels.append((own[new], first[new]))
+        while len(self.levels) > 1 and len(self.levels[-2][0]) <= 2 * len(self.levels[-1][0]):
+            (a, x), (b, y) = self.levels[-2:]
+            key = np.concatenate([a, b])
+            order = np.argsort(key, kind="stable")  # two sorted runs
+            self.levels[-2:] = [(key[order], np.concatenate([x, y])[order])]
         return out
 
 
+def padded(texts: list[bytes], width: int) -> np.ndarray:
+    """Byte strings of one width: the texts, zeros, the texts' lengths and a last byte that is not zero."""
+    return np.array([t.ljust(width, b"\0") + len(t).to_bytes(2, "big") + b"\1" for t in texts], f"S{width + 3}")
+
+
+def window_hash(buf: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """64-bit hashes of the strings of that length that start at `at`."""
+    words = np.ndarray((len(buf) - 7,), "<u8", buf.tobytes(), strides=(1,))
+    h = np.zeros(len(at), np.uint64)
+    for k in [*range(0, length - 8, 8), length - 8]:
+        h = (h ^ words[at + k]) * C1
+        h ^= h >> np.uint64(29)
+    return h
+
+
 def minimisers(buf: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(document, start, count, hash) of the runs in buf, whose documents end at ends."""
     found = []
@@ -176,42 +187,50 @@ def answers(docs: np.ndarray, codes: np.ndarray, texts: list[bytes], length: int
     order = np.argsort(docs, kind="stable")
     out = np.zeros(len(docs), np.uint64)
 
-    def batches(which: np.ndarray) -> Iterator[np.ndarray]:
+    def batches(which: np.ndarray, own: np.ndarray = docs, batch: int = batch) -> Iterator[np.ndarray]:
         lo = 0
         while lo < len(which):  # a document is not divided
             hi = lo + batch
-            while hi < len(which) and docs[which[hi]] == docs[which[hi - 1]]:
+            while hi < len(which) and own[which[hi]] == own[which[hi - 1]]:
                 hi += 1
             yield which[lo:hi]
             lo = hi
 
     whole, fresh = Suffixes(), []
+    width = length - 1 + RUN
     for part in batches(order):
         own = docs[part]
-        first = np.array(whole.add([texts[i] for i in part], own.tolist()), np.int64)
+        first = whole.add(padded([texts[i] for i in part], width), own)
         old = part[first < own]
         out[old] = [(1 << (len(texts[i]) - length + 1)) - 1 for i in old.tolist()]
         fresh.append(part[first == own])
     fresh = np.concatenate(fresh) if fresh else order
     # suffixes can only match across runs of one minimiser whose texts differ
-    texts_of: dict[int, int] = {}
-    kinds = {(int(codes[i]), texts[i]) for i in fresh}
-    for c, _ in kinds:
-        texts_of[c] = texts_of.get(c, 0) + 1
-    fresh = fresh[np.fromiter((texts_of[int(codes[i])] > 1 for i in fresh), bool, len(fresh))]
-    single = Suffixes()
-    for part in batches(fresh):
-        keys, owner, place = [], [], []
-        for i in part.tolist():
-            t = texts[i]
-            for k in range(len(t) - length + 1):
-                keys.append(t[k : k + length])
-                owner.append(i)
-                place.append(k)
-        if keys:
-            own = docs[owner]
-            hit = np.flatnonzero(np.array(single.add(keys, own.tolist()), np.int64) < own)
-            np.bitwise_or.at(out, np.array(owner)[hit], np.uint64(1) << np.array(place, np.uint64)[hit])
+    of = [int(c) for c in codes[fresh]]
+    kinds: dict[int, int] = {}
+    for c, _ in {(c, texts[i]) for c, i in zip(of, fresh.tolist(), strict=True)}:
+        kinds[c] = kinds.get(c, 0) + 1
+    fresh = fresh[np.fromiter((kinds[c] > 1 for c in of), bool, len(fresh))]
+    if not len(fresh):
+        return out
+    size = np.array([len(texts[i]) for i in fresh])
+    n = size - length + 1
+    buf = np.frombuffer(b"".join(texts[i] for i in fresh), np.uint8)
+    run = np.repeat(np.arange(len(fresh)), n)
+    place = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
+    at = (np.cumsum(size) - size)[run] + place
+    # and a suffix whose prefix has a hash of its own has no match
+    h = window_hash(buf, at, length)
+    by = np.argsort(h)
+    twin = np.flatnonzero(h[by][1:] == h[by][:-1])
+    pick = np.zeros(len(h), bool)
+    pick[by[twin]] = pick[by[twin + 1]] = True
+    run, place, at = run[pick], place[pick], at[pick]
+    single, own = Suffixes(), docs[fresh][run]
+    for part in batches(np.arange(len(run)), own, 16 * batch):
+        keys = buf[at[part][:, None] + np.arange(length)].reshape(-1).view(f"S{length}")
+        hit = part[single.add(keys, own[part]) < own[part]]
+        np.bitwise_or.at(out, fresh[run[hit]], np.uint64(1) << place[hit].astype(np.uint64))
     return out
 
 
