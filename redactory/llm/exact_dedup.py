@@ -5,7 +5,7 @@ digest (partial aggregation, so that a group of any size leaves each task as one
 the index by sort-merge, and what is new is appended. Only DataFrame functions are used.
 
 Cases: null texts count as empty, and all empty texts are equal; repeated rows are copies of each other; ties
-on the id cannot be told apart and stay or go together with the id; an empty table gives no rows. Only the id
+on the id cannot be told apart and stay or go together with the id; a null id stays only where all ids of its text are null; an empty table gives no rows. Only the id
 and text columns are read, so other columns and their names do not matter.
 """
 
@@ -58,4 +58,4 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, id_col: str =
     sizes = own.groupBy("digest").agg(F.count("*").alias("n_here"))
     groups = kept(index.rows().join(sizes.hint("merge"), "digest"))
     out = skew_join(own, groups, "digest", "n_here")
-    return out.select("id", "keep_id", "group_size", F.coalesce(F.col("id") == F.col("keep_id"), F.lit(False)).alias("kept"), "digest")
+    return out.select("id", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")

@@ -11,7 +11,8 @@ the bits the mask leaves free instead of comparing pairs. Connected components a
 small-star rounds, each written to the shared folder.
 
 Cases: null, empty and blank texts have fingerprint zero and are linked like any other; texts with fewer words
-than a shingle are one shingle; texts of any length are hashed in blocks; repeated rows share a fingerprint.
+than a shingle are one shingle; texts of any length are hashed in blocks; repeated rows share a fingerprint. Null ids are in
+the component of their fingerprint, which is null where no row with it has an id.
 """
 
 from __future__ import annotations
@@ -169,6 +170,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """id, fp, component: the smallest id that a chain of links reaches, for every row of docs."""
     own = kept(fingerprints(docs, id_col, text_col, shingle))
     nodes = kept(own.groupBy("fp").agg(F.min("id").alias("node"), F.count("*").alias("n")))
-    found = components(links(nodes.select("fp", "node"), radius))
+    found = components(links(nodes.filter("node IS NOT NULL").select("fp", "node"), radius))
     nodes = kept(nodes.join(found.hint("merge"), "node", "left").select("fp", "n", F.coalesce("component", "node").alias("component")))
     return skew_join(own, nodes, "fp", "n").select("id", "fp", "component")
