@@ -249,7 +249,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     if not GRAM < length < 1 << 15:
         raise ValueError(f"length must lie above {GRAM}")
     spark = docs.sparkSession
-    buckets = buckets or max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = buckets or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,7 +326,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
         for r in _rows(batches):
             unit = Unit(r["blob"], length, buckets)
             masks = bits_of(r, "masks")
-            change = np.zeros(len(unit.raw) + 1, np.int32)
+            starts = []
             for b, (_, _, g, answer) in unit.wanted(bits_of(r)).items():
                 got = np.append(np.frombuffer(unpack.decompress(masks[b]), "<u8"), np.uint64(2**64 - 1))[answer]  # -1: all
                 g, got = g[got != 0], got[got != 0]
@@ -334,9 +334,9 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
                 run = np.repeat(np.arange(len(g)), n)
                 k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 s = (unit.start[g][run] + k)[(got[run] >> k.astype(np.uint64)) & np.uint64(1) == 1]
-                change += np.bincount(s, minlength=len(change)).astype(np.int32)
-                change -= np.bincount(s + length, minlength=len(change)).astype(np.int32)
-            gone = np.cumsum(change[:-1]) > 0
+                starts.append(s)
+            s, size = np.concatenate([*starts, np.zeros(0, np.int64)]), len(unit.raw) + 1
+            gone = np.cumsum(np.bincount(s, minlength=size) - np.bincount(s + length, minlength=size))[:-1] > 0
             raw = np.frombuffer(unit.raw, np.uint8)
             out: list[list] = [[], [], [], [], []]
             for i, a, e in zip(unit.ids.tolist(), [0, *unit.ends[:-1].tolist()], unit.ends.tolist(), strict=True):
