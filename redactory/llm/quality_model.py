@@ -11,7 +11,7 @@ nothing else is sampled. A document is rejected where its score lies below the t
 so that `most_lost` of the held-out good documents at most fall below it.
 
 Cases: null texts have no bytes, null metadata its own value; documents with equal ids are scored each by itself;
-with fewer than `least` labelled documents of either class there is no model, scores are null and all are kept.
+with fewer than half of `least` labelled documents of a class in either half there is no model, scores are null and all are kept.
 """
 
 from __future__ import annotations
@@ -126,10 +126,10 @@ def fit(docs: DataFrame, labels: DataFrame, cols: dict[str, str] = COLUMNS, labe
     x = [np.array([np.frombuffer(got[c][i], np.float32) for i in order]) for c in ("text_x", "meta_x")]
     is_known = np.array([i in y_of for i in id_], bool)
     y = np.array([y_of.get(i, np.nan) for i in id_])[is_known]
-    if min((y == 0).sum(), (y == 1).sum()) < least:
-        return None
-    half = np.arange(len(y)) % 2 == 0
     at = np.flatnonzero(is_known)
+    half = np.array([crc32(str(id_[i]).encode()) % 2 == 0 for i in at], bool)  # ids may have a pattern
+    if min(int((y[h] == k).sum()) for h in (half, ~half) for k in (0, 1)) < least // 2:
+        return None
     models = co_train([v[at[half]] for v in x], y[half], [v[~is_known] for v in x], rounds)
     out = [margin(m, v[at[~half]]) for m, v in zip(models, x, strict=True)]
     scale = [logistic(m[:, None], y[~half]) for m in out]  # Platt's calibration of each view

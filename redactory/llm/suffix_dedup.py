@@ -282,8 +282,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
         value, n = np.unique(np.concatenate([*codes, *(c[m] for c, m in zip(codes, many, strict=True))]), return_counts=True)
         value = value[n > 1]
         hits = [np.isin(c, value, assume_unique=True) for c in codes]
-        keep = [i for i, h in enumerate(hits) if h.any()]
-        return pa.table({"unit": table["unit"].take(keep), "bucket": table["bucket"].take(keep), "bits": pa.array([np.packbits(hits[i]).tobytes() for i in keep], pa.binary())})
+        keep = pa.array([i for i, h in enumerate(hits) if h.any()], pa.int64())
+        return pa.table({"unit": table["unit"].take(keep), "bucket": table["bucket"].take(keep), "bits": pa.array([np.packbits(hits[i]).tobytes() for i in keep.to_pylist()], pa.binary())})
 
     def answered(replies: DataFrame, *what: str) -> DataFrame:
         by_unit = replies.groupBy("unit").agg(F.collect_list(F.struct("bucket", *what)).alias("got"))
