@@ -8,7 +8,8 @@ Every document is then scored on its whole text.
 
 Bounds of the fit: labelled_rows labelled and pool_rows unlabelled documents, those with the smallest hashed ids;
 nothing else is sampled. A document is rejected where its score lies below the threshold: 0.5, or lower if need be
-so that `most_lost` of the held-out good documents at most fall below it.
+so that `most_lost` of the held-out good documents at most fall below it (with fewer than 1 / most_lost of those,
+a quarter of the odds of the lowest one).
 
 Cases: null texts have no bytes, null metadata its own value; documents with equal ids are scored each by itself;
 with fewer than half of `least` labelled documents of a class in either half there is no model, scores are null and all are kept.
@@ -137,6 +138,8 @@ def fit(docs: DataFrame, labels: DataFrame, cols: dict[str, str] = COLUMNS, labe
     score = sigmoid(margin(mix, np.column_stack([margin(s, m[:, None]) for s, m in zip(scale, out, strict=True)])))
     good = np.sort(score[y[~half] == 1])
     threshold = min(0.5, float(good[int(most_lost * len(good))]))
+    if most_lost * len(good) < 1:  # too few to tell: the odds are lowered fourfold
+        threshold = threshold / (4 - 3 * threshold)
     return {"text": models[0], "meta": models[1], "scale": scale, "mix": mix, "threshold": threshold, "held_out": (score, y[~half])}
 
 
