@@ -2,8 +2,9 @@
 
 Two views of a document: its text (byte and hashed byte-pair frequencies of the whole text) and its metadata
 (language, source, length). Each view has a logistic classifier. In every round each picks the documents of an
-unlabelled pool that it is surest of, and these, with its labels, join the other view's training set. Half of the
-labelled sample is held out of the rounds: on it each view is calibrated and the calibrated views are combined.
+unlabelled pool that it is surest of, and these, with its labels, join the other view's training set; labels of
+less than 0.95 probability are not exchanged. Half of the labelled sample is held out of the rounds: on it each
+view is calibrated and the calibrated views are combined by weights between 0 and 1.
 Every document is then scored on its whole text.
 
 Bounds of the fit: labelled_rows labelled and pool_rows unlabelled documents, those with the smallest hashed ids;
@@ -49,7 +50,7 @@ def meta_view(lang: str | None, source: str | None, n_chars: int | None) -> np.n
     return out
 
 
-def logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-4, steps: int = 300) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, steps: int = 300) -> np.ndarray:
     """Weights and a bias (last), by Nesterov's gradient method on standard-scaled columns."""
     mean, std = x.mean(0), x.std(0) + 1e-6
     z = np.column_stack([(x - mean) / std, np.ones(len(x))])
@@ -70,9 +71,10 @@ def margin(w: np.ndarray, x: np.ndarray) -> np.ndarray:
     return x @ w[:-1] + w[-1]
 
 
-def co_train(views: list[np.ndarray], y: np.ndarray, pools: list[np.ndarray], rounds: int = 5, per_round: float = 0.05) -> list[np.ndarray]:
-    """A weight vector a view. In a round each view hands the other its surest documents, as many of each class
-    as the class's share of the labels, per_round of the pool in all."""
+def co_train(views: list[np.ndarray], y: np.ndarray, pools: list[np.ndarray], rounds: int = 5, per_round: float = 0.05, sure: float = 0.95) -> list[np.ndarray]:
+    """A weight vector a view. In a round each view hands the other its surest documents, at most as many of each
+    class as the class's share of the labels, per_round of the pool in all. Those it is less than `sure` of stay in
+    the pool, so that a view which tells little spoils nothing."""
     own = [(v, y) for v in views]
     left = np.ones(len(pools[0]), bool)
     models = [logistic(*o) for o in own]
@@ -87,6 +89,8 @@ def co_train(views: list[np.ndarray], y: np.ndarray, pools: list[np.ndarray], ro
             bad = max(1, round(n * (1 - y.mean())))
             pick = np.concatenate([by[:bad], by[-max(1, n - bad) :]])
             label = np.concatenate([np.zeros(bad), np.ones(len(pick) - bad)])
+            certain = sigmoid(np.where(label > 0, score[pick], -score[pick])) >= sure
+            pick, label = pick[certain], label[certain]
             other = 1 - k
             own[other] = (np.vstack([own[other][0], pools[other][at[pick]]]), np.append(own[other][1], label))
             left[at[pick]] = False
@@ -94,6 +98,20 @@ def co_train(views: list[np.ndarray], y: np.ndarray, pools: list[np.ndarray], ro
     return models
 
 
+def combined(odds: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights in [0, 1] of calibrated log-odds (a column a view), with a bias: prior + sum of w * (odds - prior), the
+    w of least log loss. A view that tells nothing has odds near the prior, so no weight makes it matter."""
+    prior = np.log(y.mean() / (1 - y.mean()))
+    best, least = (0.0, 0.0), np.inf
+    for a in np.linspace(0, 1, 21):
+        for b in np.linspace(0, 1, 21):
+            z = prior + (odds - prior) @ (a, b)
+            loss = np.logaddexp(0, np.where(y > 0, -z, z)).mean()
+            if loss < least - 1e-9:
+                best, least = (a, b), loss
+    return np.array([*best, prior * (1 - sum(best))])
+
+
 def features(docs: DataFrame, cols: dict[str, str]) -> DataFrame:
     """id, text_x and meta_x as float32 bytes."""
 
@@ -134,8 +152,9 @@ def fit(docs: DataFrame, labels: DataFrame, cols: dict[str, str] = COLUMNS, labe
     models = co_train([v[at[half]] for v in x], y[half], [v[~is_known] for v in x], rounds)
     out = [margin(m, v[at[~half]]) for m, v in zip(models, x, strict=True)]
     scale = [logistic(m[:, None], y[~half]) for m in out]  # Platt's calibration of each view
-    mix = logistic(np.column_stack([margin(s, m[:, None]) for s, m in zip(scale, out, strict=True)]), y[~half])
-    score = sigmoid(margin(mix, np.column_stack([margin(s, m[:, None]) for s, m in zip(scale, out, strict=True)])))
+    odds = np.column_stack([margin(s, m[:, None]) for s, m in zip(scale, out, strict=True)])
+    mix = combined(odds, y[~half])
+    score = sigmoid(margin(mix, odds))
     good = np.sort(score[y[~half] == 1])
     threshold = min(0.5, float(good[int(most_lost * len(good))]))
     if most_lost * len(good) < 1:  # too few to tell: the odds are lowered fourfold

@@ -188,6 +188,17 @@ def test_quality_model(spark):
     assert quality_model.fit(docs, labels.limit(3)) is None and quality_model.score(docs, None).filter("kept").count() == 601
 
 
+def test_useless_view_spoils_nothing():
+    rng = np.random.default_rng(3)
+    y = (rng.random(600) > 0.2).astype(float)
+    good, noise = y[:, None] * 2 + rng.normal(0, 0.3, (600, 1)), rng.normal(0, 1, (600, 20))
+    a, b = quality_model.co_train([good[:300], noise[:300]], y[:300], [good[300:], noise[300:]])
+    assert ((quality_model.margin(a, good[300:]) > 0) == y[300:]).mean() > 0.98
+    flat = np.column_stack([np.where(y > 0, 4.0, -4.0), np.full(600, np.log(y.mean() / (1 - y.mean())))])
+    mix = quality_model.combined(flat, y)
+    assert (0 <= mix[:2]).all() and (mix[:2] <= 1).all() and ((quality_model.margin(mix, flat) > 0) == y).all()
+
+
 def test_hilbert(docs, spark):
     n, bits = 3, 3
     grid = spark.range(1 << n * bits).select(*(F.shiftright("id", k * bits).bitwiseAND((1 << bits) - 1).cast("int").alias(f"c{k}") for k in range(n)))
