@@ -266,6 +266,39 @@ def _with(select: str, *more: str) -> str:
     return f"WITH {', '.join((CARRIER, *more))} {select}"
 
 
+def _found_in(texts: str) -> str:
+    """CTEs: matches of text mode (picked) in the rows (id, seg, text) of texts."""
+    return f"""
+        near_by AS (SELECT id, seg, text AS t, lower(text) AS l, term, category, rnk FROM {texts}, lex1 WHERE contains(lower(text), term)),
+        places AS (SELECT *, unnest(list_filter(range(1, length(l) - length(term) + 2), lambda p: substring(l, p, length(term)) = term AND NOT regexp_matches(substring(' ' || l, p, 1), '\\w') AND NOT regexp_matches(substring(l || ' ', p + length(term), 1), '\\w'))) AS p FROM near_by),
+        found AS MATERIALIZED (SELECT id, seg, rnk, category, CAST(p - 1 AS INT) AS s, CAST(p - 1 + length(term) AS INT) AS e, substring(t, p, length(term)) AS text FROM places),
+        picked AS (SELECT * FROM found f WHERE NOT EXISTS (SELECT 1 FROM found o WHERE o.id = f.id AND o.seg = f.seg AND o.rnk < f.rnk AND o.s < f.e AND f.s < o.e))"""
+
+
+#: Text statuses of told (id, seg, text): every finding of text mode is a sure one.
+_JUDGED = """
+        counted AS (SELECT id, count(*) AS n FROM picked GROUP BY id),
+        judged AS (SELECT id, coalesce(n, 0) AS n, CASE WHEN n IS NULL THEN 'PASS' WHEN n <= 2 THEN 'REVIEW_REQUIRED' ELSE 'FAIL' END AS status FROM told LEFT JOIN counted USING (id))"""
+#: Texts in which only the exact matches are masked.
+_EXACT_TOLD = """
+        xhit AS (SELECT id, unnest(range(word_idx, word_idx + n_words)) AS idx, word_idx, category FROM exact),
+        xmask AS (SELECT w.id, w.seg, w.idx, CASE WHEN h.word_idx IS NULL THEN w.word WHEN h.word_idx = w.idx THEN '[' || upper(category) || ']' END AS out FROM words w LEFT JOIN xhit h USING (id, idx)),
+        xseg AS (SELECT id, seg, coalesce(string_agg(out, ' ' ORDER BY idx), '') AS text FROM xmask GROUP BY id, seg),
+        told AS MATERIALIZED (SELECT id, 0 AS seg, string_agg(text, ' ' ORDER BY seg) AS text FROM xseg GROUP BY id)"""
+#: The alignment's rows, one a step. A cell packs cost, substitutions, insertions and deletions into 15 bits each; equal
+#: costs go to a match or substitution, then an insertion, as the backtrace of the operator does.
+_WER_WORDS = "list_filter(regexp_split_to_array(regexp_replace(lower({t}), '[^\\w\\s'']', ' ', 'g'), '\\s+'), lambda x: x <> '')"
+_ALIGNED = f"""
+        sides AS (SELECT a.id, {_WER_WORDS.format(t='a.text')} AS r, {_WER_WORDS.format(t='b.text')} AS h FROM carrier a JOIN carrier b ON a.id = b.id AND a.seg = 0 AND b.seg = 1),
+        dp(id, r, h, i, cells) AS (
+          SELECT id, r, h, 0, list_transform(range(0, len(h) + 1), lambda j: j * ((1::BIGINT << 45) + (1::BIGINT << 15))) FROM sides
+          UNION ALL SELECT id, r, h, i + 1, list_reduce(list_prepend([(i + 1) * ((1::BIGINT << 45) + 1)], list_transform(range(1, len(h) + 1), lambda j: [j])),
+            lambda acc, x: list_append(acc, CASE WHEN r[i + 1] = h[x[1]] THEN cells[x[1]]
+              WHEN cells[x[1]] >> 45 <= acc[-1] >> 45 AND cells[x[1]] >> 45 <= cells[x[1] + 1] >> 45 THEN cells[x[1]] + (1::BIGINT << 45) + (1::BIGINT << 30)
+              WHEN acc[-1] >> 45 <= cells[x[1] + 1] >> 45 THEN acc[-1] + (1::BIGINT << 45) + (1::BIGINT << 15)
+              ELSE cells[x[1] + 1] + (1::BIGINT << 45) + 1 END)) FROM dp WHERE i < len(r)),
+        aligned AS (SELECT id, CAST(cells[-1] >> 30 & 32767 AS INT) AS s, CAST(cells[-1] >> 15 & 32767 AS INT) AS n, CAST(cells[-1] & 32767 AS INT) AS d, len(r) AS n_ref, len(h) AS n_hyp FROM dp WHERE i = len(r)),
+        rated AS (SELECT *, round(CASE WHEN n_ref = 0 AND n_hyp = 0 THEN 0 WHEN n_ref = 0 THEN 'inf'::DOUBLE ELSE (s + n + d)::DOUBLE / n_ref END, 6) AS rate FROM aligned)"""
 _STATUS = "CASE WHEN {n} = 0 THEN 'PASS' WHEN {n} <= 2 AND {s} = 0 THEN 'PASS_WITH_NOTE' WHEN {n} <= 2 THEN 'REVIEW_REQUIRED' ELSE 'FAIL' END"
 _LEV = "list_position(['PASS', 'PASS_WITH_NOTE', 'REVIEW_REQUIRED', 'FAIL'], {x})"
 ORACLE_SQL = {
@@ -296,9 +329,12 @@ ORACLE_SQL = {
     "clean_human": _with("SELECT id, seg, trim(regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace('[0.500] <Speaker_1> ' || text || ' <breath> Don''t stop. ', '\\[\\d+\\.\\d+\\]', ' ', 'g'), '<[^>]+>', ' ', 'g'), '[^\\w\\s]', ' ', 'g')), '\\s+', ' ', 'g')) AS clean FROM carrier"),
     "anti_existing": "WITH c AS (SELECT c_custkey AS o, 'audio_' || c_custkey || CASE WHEN c_custkey % 3 = 0 THEN '.txt' ELSE '.wav' END AS name FROM customer), f AS (SELECT * FROM c WHERE name LIKE '%.wav' ORDER BY o LIMIT 50) SELECT name FROM f WHERE o % 2 <> 0",
     "topk_redactions": _with("SELECT id, array_to_string(list(text ORDER BY word_idx)[:10], '|') AS shown, greatest(count(*) - 10, 0) AS more FROM matches GROUP BY id"),
-    "detect_in_text": _with("""SELECT id, seg, text, category, s AS first_char, e AS end_char FROM picked""", """
-        near_by AS (SELECT id, seg, text AS t, lower(text) AS l, term, category, rnk FROM carrier, lex1 WHERE contains(lower(text), term)),
-        places AS (SELECT *, unnest(list_filter(range(1, length(l) - length(term) + 2), lambda p: substring(l, p, length(term)) = term AND NOT regexp_matches(substring(' ' || l, p, 1), '\\w') AND NOT regexp_matches(substring(l || ' ', p + length(term), 1), '\\w'))) AS p FROM near_by),
-        found AS MATERIALIZED (SELECT id, seg, rnk, category, CAST(p - 1 AS INT) AS s, CAST(p - 1 + length(term) AS INT) AS e, substring(t, p, length(term)) AS text FROM places),
-        picked AS (SELECT * FROM found f WHERE NOT EXISTS (SELECT 1 FROM found o WHERE o.id = f.id AND o.seg = f.seg AND o.rnk < f.rnk AND o.s < f.e AND f.s < o.e))"""),
+    "detect_in_text": _with("SELECT id, seg, text, category, s AS first_char, e AS end_char FROM picked", _found_in("carrier")),
+    "verify_text_status": _with("""SELECT id, status AS text_status, status AS overall_status, CASE WHEN n = 0 THEN '' WHEN n <= 2 THEN 'Text: ' || n || ' PII match(es) found, manual review recommended'
+        ELSE 'Text: ' || n || ' PII instances leaked - check bleep alignment' END AS notes FROM judged""", _EXACT_TOLD, _found_in("told"), _JUDGED),
+    "status_counts": _with("SELECT x.status, count(id) AS n FROM (VALUES ('PASS'), ('PASS_WITH_NOTE'), ('REVIEW_REQUIRED'), ('FAIL')) AS x(status) LEFT JOIN judged j ON j.status = x.status GROUP BY x.status",
+                           "told AS MATERIALIZED (SELECT id, 0 AS seg, min(text) AS text FROM carrier WHERE id % 3 > 0 GROUP BY id)", _found_in("told"), _JUDGED),
+    "wer_pairs": _with("SELECT id, s AS substitutions, n AS insertions, d AS deletions, n_ref AS reference_words, n_hyp AS hypothesis_words, rate AS wer FROM rated", _ALIGNED).replace("WITH", "WITH RECURSIVE", 1),
+    "wer_batch": _with("""SELECT round(coalesce(sum(s + n + d)::DOUBLE / nullif(sum(n_ref), 0), 0), 4) AS aggregate_wer, round(coalesce(avg(rate) FILTER (n_ref > 0), 0), 4) AS mean_wer, round(avg(rate), 4) AS mean_wer_all,
+        CAST(sum(s) AS BIGINT) AS substitutions, CAST(sum(n) AS BIGINT) AS insertions, CAST(sum(d) AS BIGINT) AS deletions, CAST(sum(n_ref) AS BIGINT) AS reference_words, count(*) AS num_samples FROM rated""", _ALIGNED).replace("WITH", "WITH RECURSIVE", 1),
 }
