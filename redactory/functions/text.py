@@ -7,18 +7,16 @@ from pyspark.sql import functions as F
 
 from .lexicon import LABELS, SINGULARS
 
+#: The last s of a known plural. It is found by its letter first, so the list is read only for words that end in one.
+PLURAL = rf"s\z(?<=^(?:{'|'.join(x for x in SINGULARS if x[-1] != 's')})s)"
+
 
 def normalize_word(word: Column) -> Column:
     """Lower case, possessive 's off (before punctuation), closing then opening punctuation off, known plurals cut."""
     w = F.lower(F.coalesce(word, F.lit("")))
     w = F.regexp_replace(w, "'s$", "")
     w = F.regexp_replace(F.regexp_replace(w, "[.,!?;:\"']+$", ""), "^[\"']+", "")
-    return _cut_plural(w)
-
-
-def _cut_plural(w: Column) -> Column:
-    cut = F.regexp_replace(w, "s$", "")
-    return F.when(w.endswith("s") & ~w.endswith("ss") & (F.length(w) > 3) & cut.isin(SINGULARS), cut).otherwise(w)
+    return F.regexp_replace(w, PLURAL, "")
 
 
 def split_words(text: Column) -> Column:

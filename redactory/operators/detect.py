@@ -29,9 +29,12 @@ def _extra(may_context: bool) -> dict[str, str] | None:
     return {"may": "month"} if may_context else None
 
 
-def exact(words: DataFrame, may_context: bool = False, longest: int = 3) -> DataFrame:
-    """Leftmost, then longest phrases of up to `longest` words; a conversation's candidates are folded in order."""
-    spark = words.sparkSession
+CANDIDATE = ["id", "idx", "n", "text", "category", "start_time", "end_time", "confidence", "is_fuzzy"]
+
+
+def _phrases(words: DataFrame, may_context: bool, longest: int) -> DataFrame:
+    """CANDIDATE of every phrase of up to `longest` words that is a term, overlaps included. Only at words that open a
+    term are phrases built."""
     order = W.partitionBy("id").orderBy("idx")
     w = words.withColumn("norm", normalize_word(F.col("word")))
     if may_context:
@@ -39,23 +42,45 @@ def exact(words: DataFrame, may_context: bool = False, longest: int = 3) -> Data
         w = w.withColumn("_at", before)
     ahead = [(F.lead("norm", k).over(order), F.lead("word", k).over(order), F.lead("end_time", k).over(order)) for k in range(1, longest)]
     w = w.withColumns({f"_{n}{k}": c for k, cols in enumerate(ahead, 1) for n, c in zip("nwe", cols, strict=True)})
+    terms = first_by_rank(words.sparkSession, _extra(may_context)).select(F.col("term").alias("_term"), "category", F.substring_index("term", " ", 1).alias("_first"))
+    w = w.join(F.broadcast(terms), F.substring_index("norm", " ", 1) == F.col("_first"))
     grams = []
     for n in range(1, longest + 1):
         phrase, text = (F.concat_ws(" ", F.col(c), *(F.col(f"_{p}{k}") for k in range(1, n))) for c, p in (("norm", "n"), ("word", "w")))
         last = F.col(f"_e{n - 1}") if n > 1 else F.col("end_time")
         whole = F.col(f"_n{n - 1}").isNotNull() if n > 1 else F.lit(True)
-        grams.append(F.when(whole, F.struct(F.lit(n).alias("n"), phrase.alias("phrase"), text.alias("text"), last.alias("end_time"))))
-    cands = w.withColumn("g", F.explode(F.filter(F.array(*grams), lambda g: g.isNotNull()))).select("id", "idx", "start_time", "g.*", *(["_at"] if may_context else []))
-    terms = F.broadcast(first_by_rank(spark, _extra(may_context)).select(F.col("term").alias("phrase"), "category"))
-    cands = cands.join(terms, "phrase")
+        grams.append(F.when(whole & (phrase == F.col("_term")), F.struct(F.lit(n).alias("n"), text.alias("text"), last.alias("end_time"))))
+    cands = w.withColumn("g", F.coalesce(*grams)).filter("g IS NOT NULL")  # phrases of different lengths may not both be the term
+    cands = cands.select("id", "idx", "start_time", "category", "g.*", *(["_at", "_term"] if may_context else []))
     if may_context:
         texts = words.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "word"))), lambda x: x["word"]), " ").alias("_text"))
-        cands = cands.join(texts, "id").filter((F.col("phrase") != "may") | may_is_month(F.col("_text"), F.col("_at"), F.col("_at") + F.length("text"))).drop("_text", "_at")
-    per = cands.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("idx", (-F.col("n")).alias("neg"), "n", "text", "category", "start_time", "end_time"))).alias("c"))
+        cands = cands.join(texts, "id").filter((F.col("_term") != "may") | may_is_month(F.col("_text"), F.col("_at"), F.col("_at") + F.length("text")))
+    return cands.withColumns({"confidence": F.lit(1.0), "is_fuzzy": F.lit(False)}).select(CANDIDATE)
+
+
+def _misspelt(words: DataFrame) -> DataFrame:
+    """CANDIDATE of every single word that is near a term; both the normal form and the term are found once a distinct
+    word. Which words hit is known only at run time: adaptive execution broadcasts them while they are few."""
+    forms = words.select("word").distinct().withColumn("norm", normalize_word(F.col("word")))
+    hits = forms.join(fuzzy_terms(forms), "norm").select("word", "category", "confidence")
+    out = words.join(hits, "word")
+    return out.select("id", "idx", F.lit(1).alias("n"), F.col("word").alias("text"), "category", "start_time", "end_time", "confidence", F.lit(True).alias("is_fuzzy"))
+
+
+def _picked(candidates: DataFrame) -> DataFrame:
+    """MATCH of the candidates, folded a conversation at a time: leftmost, then longest exact ones; then fuzzy ones
+    outside those."""
+    per = candidates.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("is_fuzzy", "idx", (-F.col("n")).alias("neg"), *CANDIDATE[2:-1]))).alias("c"))
     fold = """aggregate(c, named_struct('next', -1, 'picks', slice(c, 1, 0)),
-        (a, x) -> IF(x.idx >= a.next, named_struct('next', x.idx + x.n, 'picks', concat(a.picks, array(x))), a), a -> a.picks)"""
-    picks = per.select("id", F.explode(F.expr(fold)).alias("p"))
-    return picks.select("id", F.col("p.idx").alias("word_idx"), F.col("p.n").alias("n_words"), "p.text", "p.category", "p.start_time", "p.end_time", F.lit(1.0).alias("confidence"), F.lit(False).alias("is_fuzzy"))
+        (a, x) -> IF(NOT x.is_fuzzy AND x.idx >= a.next, named_struct('next', x.idx + x.n, 'picks', concat(a.picks, array(x))), a), a -> a.picks)"""
+    both = "concat(p, filter(c, x -> x.is_fuzzy AND NOT exists(p, y -> x.idx >= y.idx AND x.idx < y.idx + y.n)))"
+    picks = per.select("id", "c", F.expr(fold).alias("p")).select("id", F.explode(F.expr(both)).alias("p"))
+    return picks.select("id", F.col("p.idx").alias("word_idx"), F.col("p.n").alias("n_words"), *(f"p.{c}" for c in MATCH[3:]))
+
+
+def exact(words: DataFrame, may_context: bool = False, longest: int = 3) -> DataFrame:
+    """Leftmost, then longest phrases of up to `longest` words; a conversation's candidates are folded in order."""
+    return _picked(_phrases(words, may_context, longest))
 
 
 def covered(matches: DataFrame) -> DataFrame:
@@ -77,17 +102,14 @@ def fuzzy_terms(tokens: DataFrame) -> DataFrame:
 
 
 def fuzzy(words: DataFrame, found: DataFrame) -> DataFrame:
-    """Single words outside the exact matches `found` that are near a term; computed once a distinct token."""
-    w = words.withColumn("norm", normalize_word(F.col("word")))
-    rest = w.join(covered(found).select("id", "idx"), ["id", "idx"], "left_anti")
-    out = rest.join(fuzzy_terms(w), "norm")
-    return out.select("id", F.col("idx").alias("word_idx"), F.lit(1).alias("n_words"), F.col("word").alias("text"), "category", "start_time", "end_time", "confidence", F.lit(True).alias("is_fuzzy"))
+    """Single words outside the exact matches `found` that are near a term; computed once a distinct word."""
+    rest = _misspelt(words).join(covered(found).select("id", "idx"), ["id", "idx"], "left_anti")
+    return rest.select("id", F.col("idx").alias("word_idx"), F.col("n").alias("n_words"), *MATCH[3:])
 
 
 def detect(words: DataFrame, may_context: bool = False) -> DataFrame:
-    """Exact, then fuzzy matches (a disjoint union). Order by (id, start_time, is_fuzzy, word_idx) to list them."""
-    found = exact(words, may_context)
-    return found.unionByName(fuzzy(words, found)).select(MATCH)
+    """Exact and fuzzy matches, chosen in one fold. Order by (id, start_time, is_fuzzy, word_idx) to list them."""
+    return _picked(_phrases(words, may_context, 3).unionByName(_misspelt(words)))
 
 
 def detect_in_text(texts: DataFrame, may_context: bool = False) -> DataFrame:
