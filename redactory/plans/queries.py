@@ -28,14 +28,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, seg, text)."""
     li, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    order = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    li = li.join(part, F.col("l_partkey") == F.col("p_partkey")).withColumn("seg", F.row_number().over(order) - 1)  # texts are built after the shuffle
     key = F.col("l_orderkey") + F.col("l_partkey")
     place = F.split_part(F.lit(PLACES), F.lit("|"), (key % N_PLACES + 1).cast("int"))
     cut = (F.col("l_orderkey") % F.length(place)).cast("int")
     place = F.when(key % 7 == 0, F.concat(F.substring(place, F.lit(1), cut), F.substring(place, cut + 2, F.lit(100)))).otherwise(place)
     ending = F.split_part(F.lit(ENDINGS), F.lit("|"), (F.col("l_partkey") % 7 + 1).cast("int"))
     words = F.concat(F.lit("The "), F.col("p_name"), F.lit(" shipped on "), F.date_format("l_shipdate", "EEEE"), F.lit(", in "), F.date_format("l_shipdate", "MMMM"), F.lit(" from "), place, ending)
-    seg = F.row_number().over(W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")) - 1
-    return li.join(part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("id"), seg.alias("seg"), words.alias("text"))
+    return li.select(F.col("l_orderkey").alias("id"), "seg", words.alias("text"))
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
