@@ -61,6 +61,7 @@ def _phrases(words: DataFrame, may_context: bool, longest: int) -> DataFrame:
 def _misspelt(words: DataFrame) -> DataFrame:
     """CANDIDATE of every single word that is near a term; both the normal form and the term are found once a distinct
     word. Which words hit is known only at run time: adaptive execution broadcasts them while they are few."""
+    words = words.filter(F.length(F.lower("word")) >= MIN_LENGTH)  # a normal form is never longer than that
     forms = words.select("word").distinct().withColumn("norm", normalize_word(F.col("word")))
     hits = forms.join(fuzzy_terms(forms), "norm").select("word", "category", "confidence")
     out = words.join(hits, "word")
