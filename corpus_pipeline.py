@@ -15,7 +15,7 @@ from redactory.llm.bpe import byte_bpe
 from redactory.llm.exact_dedup import exact_dedup
 from redactory.llm.mixing import mixture
 from redactory.llm.queries import PATTERN, VOCABULARY
-from redactory.llm.simhash import near_duplicates
+from redactory.llm.similar import near_copies
 
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -35,8 +35,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates the row with the smallest doc_id."""
-    return without(docs, near_duplicates(docs).filter("id <> component"))
+    """Of each component of near copies (Jaccard index of 5-word shingles 0.8 or more) the row with the smallest doc_id."""
+    return without(docs, near_copies(docs, shingle=5, least=(4, 5)))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids")
 
 
-STAGES = [("quality classifier", quality), ("exact dedup", exact), ("SimHash near-dedup", near), ("mixing", mix), ("byte-level BPE", encode)]
+STAGES = [("quality classifier", quality), ("exact dedup", exact), ("near dedup", near), ("mixing", mix), ("byte-level BPE", encode)]
 
 #: The classifier's fit and the permutations of the mix are beyond SQL; tests compare the stages with brute force.
 ORACLE_SQL = None

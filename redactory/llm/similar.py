@@ -1,0 +1,220 @@
+"""Near copies by exact set similarity: every pair of texts whose word shingles have a Jaccard index of `least` or more.
+
+Candidates come from prefix filtering, which misses no pair: all shingles have one order, and two sets as similar as
+that share a shingle among the first n - ceil(least n) + 1 of each (Chaudhuri et al., A Primitive Operator for
+Similarity Joins). Shingles common in a sample of documents come last in that order, then hashes decide; the order
+governs speed, never the result. A pair is left out only where its shared shingles of both prefixes and all shingles
+after the prefix together are too few, or where parity sketches, which never overstate a difference, differ too much;
+all others are compared by their whole sets.
+
+Each bucket of a shingle first offers its rows with its smallest id, so that a large group of copies is linked by one
+star; then all pairs that are not yet connected are offered. Two sets count as equal by their shingles' XXH64.
+
+Cases: as in simhash.py, A-Z are lower-cased, texts with fewer words than a shingle are one shingle, and null, empty
+and blank texts are equal. Rows with a null id take no part; rows that repeat an id are linked where any of them is.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import Window as W
+
+from ._common import kept, skew_join
+from .simhash import _then_none, components
+
+#: Documents whose shingles are counted for the order; ids that are sent to every task instead of being shuffled.
+SAMPLE, SENT = 4000, 500_000
+#: 0.8 as a fraction, so that no bound is rounded.
+LEAST = (4, 5)
+
+
+def shingle_set(text: str, shingle: int = 5, seed: int = 42) -> np.ndarray:
+    """The distinct shingles' XXH64, sorted."""
+    words = text.encode().lower().split()  # bytes.lower() and bytes.split() know A-Z and \x09-\x0D, space only
+    joined = b" ".join(words)
+    n = len(words) - shingle + 1
+    if n <= 1:
+        return np.array([xxhash.xxh64_intdigest(joined, seed)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])[:n].tolist()
+    hash_of = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((hash_of(joined[a:b], seed) for a, b in zip(starts, ends[shingle - 1 :].tolist(), strict=True)), np.uint64, n))
+
+
+def sampled(own: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles (sorted) that three or more documents of the sample hold, and how many do."""
+
+    def shingled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingle_set(t.as_py() or "", shingle) for t in b.column("text")]
+            if sets:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], ["h"])
+
+    of = max(1, own.count() // SAMPLE)
+    some = own.filter(F.pmod(F.xxhash64("id"), F.lit(of)) == 0).mapInArrow(shingled, "h long")
+    found = some.groupBy("h").agg(F.count("*").alias("n")).filter("n > 2").toArrow()
+    h, n = found.column("h").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    order = np.argsort(h)
+    return h[order], n[order]
+
+
+def prefix(s: np.ndarray, common: tuple[np.ndarray, np.ndarray], least: tuple[int, int] = LEAST) -> np.ndarray:
+    """The first shingles of a set, by their count in the sample and then by hash."""
+    size = len(s) - -(-least[0] * len(s) // least[1]) + 1
+    if not len(common[0]):
+        return s[:size]
+    at = np.minimum(np.searchsorted(common[0], s), len(common[0]) - 1)
+    return s[np.argsort(np.where(common[0][at] == s, common[1][at], 0), kind="stable")[:size]]
+
+
+def unconnected(ids: np.ndarray, n: np.ndarray, group: np.ndarray, least: tuple[int, int] = LEAST) -> Iterator[list[np.ndarray]]:
+    """(a, b, na, nb), b < a, of a bucket's pairs in different groups whose sizes allow the similarity."""
+    names, of, sizes = np.unique(group, return_inverse=True, return_counts=True)
+    if len(names) < 2:
+        return
+    largest = of == sizes.argmax()  # its rows are only met by the others
+    order = np.concatenate([np.flatnonzero(~largest), np.flatnonzero(largest)])
+    ids, n, of = ids[order], n[order], of[order]
+    for i in range(int((~largest).sum())):
+        j = i + 1 + np.flatnonzero((of[i + 1 :] != of[i]) & (least[0] * np.maximum(n[i + 1 :], n[i]) <= least[1] * np.minimum(n[i + 1 :], n[i])))
+        if j.size:
+            up = ids[j] > ids[i]
+            yield [np.where(up, ids[j], ids[i]), np.where(up, ids[i], ids[j]), np.where(up, n[j], n[i]), np.where(up, n[i], n[j])]
+
+
+def offered(rows: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """(a, b, na, nb) for rows (h, id, n, component), a row a bucket and pair."""
+
+    def paired(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told = lambda out: pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["a", "b", "na", "nb"])
+        held, out, size = None, [], 0
+        for batch in _then_none(batches):
+            if batch is not None:
+                cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", "id", "n", "component")]
+                held = cols if held is None else [np.concatenate(x) for x in zip(held, cols, strict=True)]
+            if held is None or not len(held[0]):
+                continue
+            cut = np.concatenate([[0], np.flatnonzero(held[0][1:] != held[0][:-1]) + 1, [len(held[0])]])
+            whole = len(cut) - 2 if batch is not None else len(cut) - 1  # the last bucket may go on
+            for lo, hi in zip(cut[:whole].tolist(), cut[1 : whole + 1].tolist(), strict=True):
+                for x in unconnected(*(c[lo:hi] for c in held[1:]), least):
+                    out.append(x)
+                    size += len(x[0])
+                    if size > 1 << 16:
+                        yield told(out)
+                        out, size = [], 0
+            held = [x[cut[whole] :] for x in held]
+        if out:
+            yield told(out)
+
+    return rows.repartition("h").sortWithinPartitions("h").mapInArrow(paired, "a long, b long, na int, nb int")
+
+
+def possible(pairs: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """(a, b) of the pairs (a, b, na, nb), a row a shared shingle of the prefixes, that may still be similar enough.
+
+    Of the prefix that ends first, a shingle that is not shared is not in the other set at all: the sets share at most
+    the counted shingles and those after that prefix."""
+    p, q = least
+    after = F.expr(f"greatest({p} * na + {q - 1}, {p} * nb + {q - 1}) div {q} - 1")
+    return pairs.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c")).filter((p + q) * (F.col("c") + after) >= p * (F.col("na") + F.col("nb"))).select("a", "b").distinct()
+
+
+def sketch(s: np.ndarray) -> bytes:
+    """The parity of the number of shingles at each of 2 to 4 bits a shingle; sketches differ in no more bits than sets in shingles."""
+    bits = 1 << max(6, (2 * len(s) - 1).bit_length())
+    return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1 > 0).tobytes()
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """Bits that differ once the longer sketch is folded to the length of the other."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def beside(pairs: DataFrame, things: DataFrame) -> DataFrame:
+    """pairs (a, b) with thing_a and thing_b, from things (id, thing), which is already written."""
+    for side in ("a", "b"):
+        n = pairs.groupBy(side).agg(F.count("*").alias("n"))
+        sided = kept(things.select(F.col("id").alias(side), F.col("thing").alias(f"thing_{side}")).join(n.hint("merge"), side))
+        pairs = skew_join(pairs, sided, side, "n").drop("n")
+        pairs = kept(pairs) if side == "a" else pairs
+    return pairs
+
+
+def named(pairs: DataFrame, own: DataFrame) -> DataFrame:
+    """The rows of own whose id is among pairs (a, b)."""
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    return own.join(F.broadcast(ids) if pairs.count() < SENT else ids.hint("merge"), "id")
+
+
+def similar(pairs: DataFrame, own: DataFrame, shingle: int, least: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough; texts are fetched only where the sketches allow it."""
+    p, q = least
+
+    def sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingle_set(t.as_py() or "", shingle) for t in b.column("text")]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([{"n": len(s), "bits": sketch(s)} for s in sets], kind)], ["id", "thing"])
+
+    def compared(by_sketch: bool):
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            last, held = None, None
+            for b in batches:
+                keep = []
+                for s, t in zip(b.column("thing_a"), b.column("thing_b"), strict=True):
+                    s, t = s.as_py(), t.as_py()
+                    if by_sketch:
+                        keep.append((p + q) * differing(s["bits"], t["bits"]) <= (q - p) * (s["n"] + t["n"]))
+                        continue
+                    if held is None or t != last:
+                        last, held = t, shingle_set(t or "", shingle)
+                    s = shingle_set(s or "", shingle)
+                    both = len(np.intersect1d(s, held, assume_unique=True))
+                    keep.append(both * q >= p * (len(s) + len(held) - both))
+                yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+        return run
+
+    kind = pa.struct([("n", pa.int32()), ("bits", pa.binary())])
+    pairs = kept(pairs)
+    things = kept(named(pairs, own).select("id", "text").mapInArrow(sketched, "id long, thing struct<n:int,bits:binary>"))
+    pairs = kept(beside(pairs, things).mapInArrow(compared(True), "a long, b long").distinct())
+    things = kept(named(pairs, own).select("id", F.col("text").alias("thing")))
+    return beside(pairs, things).mapInArrow(compared(False), "a long, b long").distinct()
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: tuple[int, int] = LEAST) -> DataFrame:
+    """id, component: of every row linked to a smaller id, the smallest id that a chain of similar pairs reaches."""
+    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id IS NOT NULL")
+    common = own.sparkSession.sparkContext.broadcast(sampled(own, shingle))
+
+    def prefixed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingle_set(t.as_py() or "", shingle) for t in b.column("text")]
+            if sets:
+                firsts = [prefix(s, common.value, least) for s in sets]
+                of = np.repeat(np.arange(len(sets)), list(map(len, firsts)))
+                n = np.array(list(map(len, sets)), np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(firsts).view(np.int64)), b.column("id").take(pa.array(of)), pa.array(n[of])], ["h", "id", "n"])
+
+    bucket = W.partitionBy("h")
+    rows = own.mapInArrow(prefixed, "h long, id long, n int")
+    rows = rows.withColumns({"lo": F.min(F.struct("id", "n")).over(bucket), "hi": F.max("id").over(bucket)})
+    rows = kept(rows.filter("lo.id < hi").select("h", "id", "n", F.col("lo.id").alias("b"), F.col("lo.n").alias("nb")))
+    stars = rows.filter("id > b").select(F.col("id").alias("a"), "b", F.col("n").alias("na"), "nb")
+    edges = kept(similar(possible(stars, least), own, shingle, least))
+    group = components(edges)
+    rows = rows.select("h", "id", "n").join(group.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    more = similar(possible(offered(rows, least), least), own, shingle, least)
+    return components(edges.union(more)).withColumnRenamed("node", "id")

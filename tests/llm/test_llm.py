@@ -230,3 +230,33 @@ def test_pipeline(spark, tmp_path):
     assert 3 not in ids and 4 not in ids and {100, 101, 102, None} <= ids
     got = cp.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in got} == ids
+
+
+def test_pipeline_near_copies(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    rng = random.Random(8)
+    talk = lambda n: [rng.choice(WORDS) for _ in range(n)]
+    passage, texts = talk(50), []
+    for k in range(40):
+        words = talk(rng.randint(30, 300)) + passage * (k % 3 == 0)
+        texts.append(words)
+        for _ in range(k % 4):  # near copies: words replaced, or a tail, on both sides of 0.8
+            copy = [w if rng.random() > rng.choice((0.005, 0.02, 0.05)) else "new" for w in words] + talk(rng.choice((0, 10, 60)))
+            texts.append([w.upper() for w in copy] if rng.random() < 0.3 else copy)
+    texts = [" ".join(t) for t in texts] + ["one two", "ONE  two", "one", "", " \n "]
+    order = rng.sample(range(len(texts)), len(texts))
+    rows = [(i, texts[k], "en", "s0", 1) for i, k in enumerate(order)] + [(None, texts[0], "en", "s0", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+
+    sets = {}
+    for i, t, *_ in rows[:-1]:
+        w = t.lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+    up = {i: i for i in sets}
+    links = [(a, b) for a in sets for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    for _ in sets:
+        for a, b in links:
+            up[a] = up[b] = min(up[a], up[b])
+    got = {r["doc_id"] for r in cp.near(spark, docs, str(tmp_path)).collect()}
+    assert len(links) > 15 and got == {i for i in up if up[i] == i} | {None}
