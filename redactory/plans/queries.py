@@ -177,8 +177,7 @@ def verify_text_status(spark, sf_dir):
 
 
 def status_counts(spark, sf_dir):
-    t = carrier(spark, sf_dir).filter(F.col("id") % 3 > 0).groupBy("id").agg(F.min("text").alias("redacted_text"))
-    return verify.status_counts(verify.verify(t))
+    return verify.status_counts(verify_text_status(spark, sf_dir))
 
 
 def bleep_regions(spark, sf_dir):
