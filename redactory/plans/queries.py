@@ -230,8 +230,11 @@ def overall_status(spark, sf_dir):
 
 
 def wer_pairs(spark, sf_dir):
-    c = carrier(spark, sf_dir).filter("seg < 2").groupBy("id").pivot("seg", [0, 1]).agg(F.first("text")).toDF("id", "reference", "hypothesis").filter("hypothesis IS NOT NULL")
-    return wer.wer(c).select("id", "substitutions", "insertions", "deletions", "reference_words", "hypothesis_words", F.round("wer", 6).alias("wer"))
+    """Each segment against its successor; a conversation's only segment against nothing, so all its words are deletions."""
+    talk = W.partitionBy("id")
+    c = carrier(spark, sf_dir).withColumns({"next": F.lead("text").over(talk.orderBy("seg")), "n": F.count("*").over(talk)}).filter((F.col("seg") < F.col("n") - 1) | (F.col("n") == 1))
+    c = c.select("id", "seg", F.coalesce("text", F.lit("")).alias("reference"), F.coalesce("next", F.lit("")).alias("hypothesis"))
+    return wer.wer(c).select("id", "seg", "substitutions", "insertions", "deletions", "reference_words", "hypothesis_words", F.round("wer", 6).alias("wer"))
 
 
 def wer_batch(spark, sf_dir):
