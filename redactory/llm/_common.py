@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,9 +14,12 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder every executor sees: spark.checkpoint.dir, or a temporary one where that is unset and the driver is
+    the only machine (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="redactory-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(found)
@@ -26,6 +30,19 @@ def shared_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """df as a Parquet table in the shared folder, so that readers of few columns read no others."""
+    path = shared_path(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared storage that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def kept(df: DataFrame) -> DataFrame:
     """df, computed once and written to the shared folder; a lost executor costs nothing of it."""
     shared_dir(df.sparkSession)

@@ -5,14 +5,23 @@ nonzero vector v(i) of r+1 bits, and the mask of table t keeps the bits whose ve
 differing bits leave some t that is orthogonal to all their vectors, so every pair within radius r collides in
 that table: no pair is missed (Pagh, Covering LSH).
 
-Rows are first reduced to distinct fingerprints. Within a bucket only spanning links leave the task (each node
-to the root of its part), so no group emits its pairs; large buckets probe all neighbours within the radius over
+Rows are first reduced to distinct fingerprints. Within a bucket only spanning links leave the task (each joins two
+parts), so no group emits its pairs; large buckets probe all neighbours within the radius over
 the bits the mask leaves free instead of comparing pairs. Connected components alternate large-star and
 small-star rounds, each written to the shared folder.
 
+similar_documents() links by similarity of the shingle sets instead of bits. At a Jaccard index of 0.8 two fingerprints
+differ in about 10 of 64 bits, and covering that radius would take thousands of tables. So besides the covering tables
+of the whole document's fingerprint, whose links are candidates, a document gets `samples` further fingerprints, each
+the SimHash of `width` shingles, those of least hash under permutations of the sample's own; equal ones (radius 0, one
+table each) make candidates. A pair at index j misses all of them with a chance of (1 - j^width)^samples, 3 in a
+million at 0.8. In each bucket all rows are compared with the row that most other rows share buckets with, on their
+whole sets; buckets that are then not yet one group elect another row of another group, until a round brings no link.
+
 Cases: null, empty and blank texts have fingerprint zero and are linked like any other; texts with fewer words
-than a shingle are one shingle; texts of any length are hashed in blocks; repeated rows share a fingerprint. Null ids are in
-the component of their fingerprint, which is null where no row with it has an id.
+than a shingle are one shingle; texts of any length are hashed in blocks; repeated rows share a fingerprint. Rows with a
+null id have a component like all others and carry links on; a component is named by its smallest id, null where none of
+its rows has an id. An empty table gives no rows. Columns besides the id and the text are not read.
 """
 
 from __future__ import annotations
@@ -24,28 +33,40 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from ._common import kept, skew_join
+from ._common import kept, skew_join, written
 
 BLOCK, PAIRWISE = 1 << 15, 6000
+#: Ids of 8 bytes each that are sent to every task instead of being shuffled.
+SENT = 500_000
 
 
-def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
-    """Bit b is set if it is set in over half of the shingles' XXH64."""
+def shingle_hashes(text: str, shingle: int = 3, seed: int = 42) -> np.ndarray:
+    """The XXH64 of each shingle in turn; none where there is no word."""
     words = text.encode().lower().split()  # bytes.lower() and bytes.split() know A-Z and \x09-\x0D, space only
     if not words:
-        return 0
-    n = max(1, len(words) - shingle + 1)
+        return np.zeros(0, np.uint64)
+    hash_of = xxhash.xxh64_intdigest
     joined = b" ".join(words)
+    n = len(words) - shingle + 1
+    if n <= 1:
+        return np.array([hash_of(joined, seed)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])[:n].tolist()
-    ends = ends[min(shingle, len(words)) - 1 :].tolist()
+    return np.fromiter((hash_of(joined[a:b], seed) for a, b in zip(starts, ends[shingle - 1 :].tolist(), strict=True)), np.uint64, n)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Bit b is set if it is set in over half of the hashes."""
     one = np.zeros(64, np.int64)
-    hash_of = xxhash.xxh64_intdigest
-    for lo in range(0, n, BLOCK):
-        h = np.fromiter((hash_of(joined[a:b], seed) for a, b in zip(starts[lo : lo + BLOCK], ends[lo : lo + BLOCK], strict=True)), np.uint64)
-        one += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * one > n, bitorder="little").view("<u8")[0])
+    for lo in range(0, len(hashes), BLOCK):
+        one += np.unpackbits(hashes[lo : lo + BLOCK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * one > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
+    return majority(shingle_hashes(text, shingle, seed))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
@@ -75,10 +96,10 @@ def neighbours(free: list[int], radius: int) -> np.ndarray:
 
 
 def spanning(fp: np.ndarray, node: np.ndarray, radius: int, mask: int, bits: int = 64) -> list[tuple[int, int]]:
-    """(node, root) for the fingerprints of one bucket that have a link in it; root is the part's smallest node."""
+    """(a, b), b < a, within the radius: as few links as join all parts of one bucket."""
     order = np.argsort(node)
     fp, node = fp[order], node[order]
-    up = np.arange(len(fp))
+    up, out = np.arange(len(fp)), []
 
     def find(i: int) -> int:
         while up[i] != i:
@@ -87,10 +108,11 @@ def spanning(fp: np.ndarray, node: np.ndarray, radius: int, mask: int, bits: int
         return i
 
     def join(a: np.ndarray, b: np.ndarray) -> None:
-        for i, j in zip(a.tolist(), b.tolist(), strict=True):
-            i, j = find(i), find(j)
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            i, j = find(x), find(y)
             if i != j:
                 up[max(i, j)] = min(i, j)
+                out.append((int(node[max(x, y)]), int(node[min(x, y)])))
 
     if len(fp) <= PAIRWISE:
         for i in range(len(fp) - 1):
@@ -106,8 +128,7 @@ def spanning(fp: np.ndarray, node: np.ndarray, radius: int, mask: int, bits: int
             hit = np.flatnonzero((ranked[at] == want) & (want > ranked))
             if hit.size:
                 join(by[hit], by[at[hit]])
-    roots = np.fromiter((find(i) for i in range(len(fp))), np.int64, len(fp))
-    return [(int(node[i]), int(node[r])) for i, r in enumerate(roots.tolist()) if i != r]
+    return out
 
 
 def links(nodes: DataFrame, radius: int = 3) -> DataFrame:
@@ -166,10 +187,143 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components have not settled in {most_rounds} rounds")
 
 
+def named(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """nodes (node, least, ...) with component: the smallest `least` that a chain of edges reaches."""
+    found = nodes.join(components(edges).hint("merge"), "node", "left").withColumn("_c", F.coalesce("component", "node")).drop("component")
+    found = kept(found)
+    linked = found.filter("_c <> node").select("_c").distinct()  # most nodes stand alone
+    best = kept(found.join(linked.hint("merge"), "_c", "left_semi").groupBy("_c").agg(F.min("least").alias("component"), F.count("*").alias("_n")))
+    together = skew_join(found, best, "_c", "_n").drop("_n")
+    alone = found.join(best.select("_c").hint("merge"), "_c", "left_anti").withColumn("component", F.col("least"))
+    return together.unionByName(alone).drop("_c")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
     """id, fp, component: the smallest id that a chain of links reaches, for every row of docs."""
     own = kept(fingerprints(docs, id_col, text_col, shingle))
-    nodes = kept(own.groupBy("fp").agg(F.min("id").alias("node"), F.count("*").alias("n")))
-    found = components(links(nodes.filter("node IS NOT NULL").select("fp", "node"), radius))
-    nodes = kept(nodes.join(found.hint("merge"), "node", "left").select("fp", "n", F.coalesce("component", "node").alias("component")))
+    nodes = kept(own.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")).withColumn("node", F.col("fp")))
+    nodes = kept(named(nodes, links(nodes.select("fp", "node"), radius)).select("fp", "n", "component"))
     return skew_join(own, nodes, "fp", "n").select("id", "fp", "component")
+
+
+def shingle_set(hashes: np.ndarray) -> np.ndarray:
+    """The distinct ones, sorted; a blank text has one element, zero, so that blank texts are equal."""
+    return np.unique(hashes) if len(hashes) else np.zeros(1, np.uint64)
+
+
+def permutations(samples: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and summands of permutations of 32-bit numbers, a column each."""
+    odd, add = np.random.default_rng(samples * 1000 + width).integers(0, 2**32, (2, samples * width, 1), dtype=np.uint32)
+    return odd | np.uint32(1), add
+
+
+def sample_fingerprints(hashes: np.ndarray, odd: np.ndarray, add: np.ndarray, samples: int) -> np.ndarray:
+    """One SimHash a sample of shingles; a sample has the shingle of least hash of each of its permutations."""
+    high, least = (hashes >> np.uint64(32)).astype(np.uint32), None
+    for lo in range(0, len(high), BLOCK // 16):
+        part = (high[lo : lo + BLOCK // 16] * odd + add).min(1)
+        least = part if least is None else np.minimum(least, part)
+    full = (least.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)  # 64 bits of each
+    full ^= full >> np.uint64(31)
+    full *= np.uint64(0xC2B2AE3D27D4EB4F)
+    full ^= full >> np.uint64(29)
+    one = np.unpackbits(full.view(np.uint8).reshape(samples, -1, 8), axis=2, bitorder="little").sum(1)
+    return np.packbits(2 * one > len(odd) // samples, axis=1, bitorder="little").view("<u8").ravel()
+
+
+def described(docs: DataFrame, id_col: str, text_col: str, shingle: int, samples: int, width: int) -> DataFrame:
+    """id, text, row (unique), fp, key (equal for equal sets) and sig, an array of sample fingerprints; written."""
+
+    def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        odd, add = permutations(samples, width)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1000):
+                b = batch.slice(lo, 1000)
+                texts = [t.as_py() or "" for t in b.column("text")]
+                each = [shingle_hashes(t, shingle) for t in texts]
+                sets = list(map(shingle_set, each))
+                sig = np.array([sample_fingerprints(s, odd, add, samples) for s in sets]).view(np.int64)
+                fp = np.fromiter(map(majority, each), np.uint64, len(texts)).view(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sig) + 1, dtype=np.int32) * samples), pa.array(sig.ravel()))
+                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text"), pa.array(fp), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), lists], ["id", "text", "fp", "key", "sig"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return written(rows.mapInArrow(made, "id long, text string, fp long, key binary, sig array<long>").withColumn("row", F.monotonically_increasing_id()), "described")
+
+
+def verified(pairs: DataFrame, own: DataFrame, shingle: int, least: tuple[int, int], salts: int = 64) -> DataFrame:
+    """The distinct pairs (a, b) of rows of own whose whole sets have a Jaccard index of least[0] / least[1] or more.
+
+    The set of b stands once before those of its many a; it is held, they stream by. A b of very many pairs is dealt
+    to as many as `salts` places."""
+    p, q = least
+
+    def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                b = batch.slice(lo, 500)
+                yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([shingle_set(shingle_hashes(t.as_py() or "", shingle)).tobytes() for t in b.column("text")], pa.binary())], ["node", "bits"])
+
+    def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, None
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            for i, (a, b, bits) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("bits"), strict=True)):
+                own_set = np.frombuffer(bits.as_buffer(), np.uint64)
+                if a is None:
+                    at, held = b, own_set.copy()
+                    continue
+                if at != b:
+                    raise ValueError("a pair came without its other set")
+                n, m = len(own_set), len(held)
+                if q * min(n, m) >= p * max(n, m):
+                    both = len(np.intersect1d(own_set, held, assume_unique=True))
+                    keep[i] = q * both >= p * (n + m - both)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
+
+    pairs = kept(pairs.select("a", "b", F.pmod(F.xxhash64("a"), F.lit(salts)).alias("salt")))
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    few = pairs.count() < SENT
+    sets = own.join(F.broadcast(nodes) if few else nodes.hint("merge"), own["row"] == nodes["node"]).select("node", "text")
+    sets = written(sets.mapInArrow(hashed, "node long, bits binary"), "sets")
+    told = pairs.join(sets.withColumnRenamed("node", "a").hint("merge"), "a").select("a", "b", "salt", "bits")
+    heads = pairs.select("b", "salt").distinct().join(sets.withColumnRenamed("node", "b").hint("merge"), "b")
+    heads = heads.select(F.lit(None).cast("long").alias("a"), "b", "salt", "bits")
+    both = told.unionByName(heads).repartition("b", "salt").sortWithinPartitions("b", "salt", F.asc_nulls_first("a"))
+    return both.mapInArrow(compared, "a long, b long")
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: tuple[int, int] = (4, 5), radius: int = 3, samples: int = 24, width: int = 4, most_rounds: int = 5) -> DataFrame:
+    """id, fp, component: the smallest id that a chain of similar pairs reaches, for every row of docs."""
+    own = described(docs, id_col, text_col, shingle, samples, width)
+    nodes = kept(own.groupBy("key").agg(F.min("row").alias("node"), F.min("id").alias("least"), F.count("*").alias("size")))
+    reps = own.join(nodes.select(F.col("node").alias("row")).hint("merge"), "row", "left_semi").select(F.col("row").alias("node"), "fp", "sig")
+    rows = reps.select("node", F.posexplode("sig").alias("t", "key"))
+    # candidates by the whole fingerprint: rows with an equal one, and links between unequal ones
+    prints = kept(reps.select("node", "fp"))
+    heads = prints.groupBy("fp").agg(F.min("node").alias("b"), F.count("*").alias("n"))
+    equal = skew_join(prints, kept(heads.filter("n > 1")), "fp", "n").filter("node > b").select(F.col("node").alias("a"), "b")
+    by_print = equal.union(links(heads.select("fp", F.col("b").alias("node")), radius))
+    # candidates by samples: the row most others of its buckets share buckets with
+    bucket = W.partitionBy("t", "key")
+    rows = written(rows.withColumn("c", F.count("*").over(bucket)).filter("c > 1"), "buckets")
+    rows = rows.join(rows.groupBy("node").agg(F.sum("c").alias("pop")).hint("merge"), "node")
+    by_pop = F.struct("pop", (-F.col("node")).alias("neg"))
+    rows = written(rows.withColumn("center", F.max_by("node", by_pop).over(bucket)).drop("c"), "buckets")
+    star = rows.filter("node <> center").select(F.col("node").alias("a"), F.col("center").alias("b"))
+    tried = kept(by_print.union(star).distinct())
+    edges = kept(verified(tried, own, shingle, least))
+    for _ in range(most_rounds - 1):
+        group = components(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        left = rows.join(group.hint("merge"), "node", "left").withColumn("g", F.coalesce("component", "node")).drop("component")
+        left = left.withColumns({"lo": F.min("g").over(bucket), "hi": F.max("g").over(bucket), "cg": F.max(F.when(F.col("node") == F.col("center"), F.col("g"))).over(bucket)}).filter("lo < hi")
+        left = left.withColumn("center", F.max_by(F.when(F.col("g") != F.col("cg"), F.struct("node", "g")), F.when(F.col("g") != F.col("cg"), by_pop)).over(bucket))
+        new = left.filter("g <> center.g").select(F.col("node").alias("a"), F.col("center.node").alias("b")).distinct()
+        new = kept(new.join(tried.hint("merge"), ["a", "b"], "left_anti").join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")).hint("merge"), ["a", "b"], "left_anti"))
+        more = kept(verified(new, own, shingle, least))
+        if more.isEmpty():
+            break
+        tried, edges = kept(tried.union(new)), kept(edges.union(more))
+    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    found = kept(named(nodes, edges).select("key", "size", "component"))
+    return skew_join(own.select("id", "fp", "key"), found, "key", "size").select("id", "fp", "component")

@@ -35,6 +35,9 @@ def text(t):
     return t or ""
 
 
+text_of = text
+
+
 def test_suffix_dedup(docs):
     seen, want = set(), {}
     for i, t, *_ in DOCS:
@@ -67,6 +70,34 @@ def test_simhash(docs):
     assert got[13]["component"] == got[7]["component"] == 7 and got[0]["component"] == got[1]["component"] == 0
 
 
+def test_simhash_bridges(spark, monkeypatch):
+    """Fingerprints 0, 7 and 63 are 3 bits apart in turn; the middle one is held by a row without an id only."""
+    import redactory.llm.simhash as s
+
+    rows = [(1, 0), (None, 7), (2, 63), (3, 7 << 40), (3, 7 << 40), (None, 1 << 62 | 255 << 30), (4, -1)]
+    monkeypatch.setattr(s, "fingerprints", lambda docs, *_: docs)
+    got = s.near_duplicates(spark.createDataFrame(rows, "id long, fp long")).collect()
+    assert sorted((r["id"] or 0, r["fp"], r["component"]) for r in got) == sorted((i or 0, f, {0: 1, 7: 1, 63: 1, 7 << 40: 1, -1: 4}.get(f)) for i, f in rows)
+
+
+def test_simhash_components(spark):
+    """Fingerprints around few centres against all pairs; a text beyond the block size; repeated rows."""
+    import redactory.llm.simhash as s
+
+    few = [" ".join(RNG.sample(WORDS, 60)) for _ in range(6)]
+    texts = few + [t + " " + TALK(k) for t in few for k in (1, 2, 3)] + [TALK(40_000)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (90, "")]
+    fp = {i: s.fingerprint(t) for i, t in rows}
+    up = {i: i for i in fp}
+    for _ in fp:
+        for a in fp:
+            for b in fp:
+                if (fp[a] ^ fp[b]).bit_count() <= 3:
+                    up[a] = min(up[a], up[b])
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert len(got) == len(rows) and all(r["component"] == up[r["id"]] for r in got)
+
+
 def test_covering_masks_and_large_buckets(spark):
     m = masks(3)
     for _ in range(2000):
@@ -82,7 +113,15 @@ def test_covering_masks_and_large_buckets(spark):
         probed = s.spanning(x, np.arange(len(x)), 3, (1 << 64) - 1 ^ free)
     finally:
         s.PAIRWISE = 6000
-    assert probed == small
+
+    def parts(pairs):
+        up = list(range(len(x)))
+        for _ in pairs:
+            for a, b in pairs:
+                up[a] = up[b] = min(up[a], up[b])
+        return up
+
+    assert parts(probed) == parts(small) and all((int(x[a]) ^ int(x[b])).bit_count() <= 3 for a, b in probed + small)  # each link is a pair in the radius
     rows = spark.createDataFrame([(int(v), i) for i, v in enumerate(x.tolist())], "fp long, node long")
     assert links(rows).count() > 0
 
@@ -185,18 +224,37 @@ def test_quality_model(spark):
     known = [r for r in got if r["doc_id"] is not None]
     assert sum(not r["kept"] for r in known if r["doc_id"] % 4) <= 5  # good documents stay
     assert sum(not r["kept"] for r in known if r["doc_id"] % 4 == 0) >= 120  # of 150
-    assert quality_model.fit(docs, labels.limit(3)) is None and quality_model.score(docs, None).filter("kept").count() == 601
+    one_sided = labels.filter("quality = 1")
+    assert quality_model.fit(docs, one_sided) is None and quality_model.score(docs, None).filter("kept").count() == 601
+    few = quality_model.fit(docs, labels.filter("doc_id < 16"))  # four bad documents: the same rule
+    assert 0 < few["threshold"] <= 0.5
+
+
+def test_quality_model_cases(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score string, kept int"
+    none = spark.createDataFrame([], schema)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    assert quality_model.fit(none, labels) is None and quality_model.score(none, None).count() == 0
+    rows = [(i, TALK(20) if i % 2 else "# " * 30, None, None, None, "clash", 7) for i in range(40)] * 2 + [(50, "x " * 400_000, "en", "new", -3, "clash", 7), (None, "", None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    model = quality_model.fit(docs, labels)
+    got = quality_model.score(docs, model, keep=["doc_id", "score", "kept"])
+    assert got.columns == ["doc_id", "p_text", "p_meta", "score", "kept"] and got.count() == 82
+    assert {r["doc_id"] % 2 for r in got.filter("doc_id < 40 and kept").collect()} == {1}
 
 
 def test_useless_view_spoils_nothing():
     rng = np.random.default_rng(3)
     y = (rng.random(600) > 0.2).astype(float)
     good, noise = y[:, None] * 2 + rng.normal(0, 0.3, (600, 1)), rng.normal(0, 1, (600, 20))
-    a, b = quality_model.co_train([good[:300], noise[:300]], y[:300], [good[300:], noise[300:]])
-    assert ((quality_model.margin(a, good[300:]) > 0) == y[300:]).mean() > 0.98
+    w = quality_model.logistic(noise[:300], y[:300], l2=1.0)
+    assert not quality_model.surest(np.arange(300), quality_model.margin(w, noise[300:]), (10, 10), 0.99)  # nothing is passed on
+    assert ((quality_model.margin(quality_model.logistic(good[:300], y[:300]), good[300:]) > 0) == y[300:]).mean() > 0.98
     flat = np.column_stack([np.where(y > 0, 4.0, -4.0), np.full(600, np.log(y.mean() / (1 - y.mean())))])
     mix = quality_model.combined(flat, y)
     assert (0 <= mix[:2]).all() and (mix[:2] <= 1).all() and ((quality_model.margin(mix, flat) > 0) == y).all()
+    few, many = quality_model.tail_threshold(rng.normal(5, 1, 40), 0.002), quality_model.tail_threshold(rng.normal(5, 1, 40_000), 0.002)
+    assert 0 < few < 4 and abs(many - (5 - 2.88)) < 0.5  # the 0.002 quantile of the normal lies 2.88 below
 
 
 def test_hilbert(docs, spark):
@@ -221,15 +279,25 @@ def test_empty(spark):
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline as cp
 
-    base = [(i, f"{TALK(60)}.", "en", f"s{i % 3}", 1) for i in range(60)]
-    rows = base + [(100, base[3][1].upper(), "en", "s0", 1), (101, base[4][1], "en", "s0", 1), (102, None, None, None, None), (None, "no id " * 5, "en", "s1", 1)]
+    bad = lambda: "*** " + TALK(30).upper() + " ###"
+    base = [(i, f"{TALK(60)}.", "en", f"s{i % 3}", 1) for i in range(60)] + [(i, bad(), "en", "s0", 1) for i in range(200, 230)]
+    rows = base + [(100, base[3][1].upper(), "en", "s0", 1), (101, base[4][1], "en", "s0", 1), (102, base[5][1] + " more", "en", "s0", 1), (103, None, None, None, None), (None, "no id " * 5, "en", "s1", 1)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(i, int(i < 200), 0) for i, *_ in base if i % 4], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    passed = cp.quality(spark, docs, str(tmp_path))
+    good = {r["doc_id"] for r in passed.collect()}
+    assert not good & set(range(200, 230)) and set(range(60)) - {3} <= good
     ids = {r["doc_id"] for r in cp.exact(spark, docs, str(tmp_path)).collect()}
-    assert 3 not in ids and 4 not in ids and {100, 101, 102, None} <= ids
+    assert 3 not in ids and 4 not in ids and {100, 101, 102, 103, None} <= ids
     got = cp.run(spark, str(tmp_path)).collect()
-    assert {r["doc_id"] for r in got} == ids
+    assert {r["doc_id"] for r in got} == {r["doc_id"] for r in cp.exact(spark, passed, str(tmp_path)).collect()} - {102}
+    text = {r[0]: text_of(r[1]) for r in rows}
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(P.path("byte_bpe_50k.tiktoken")), special_tokens={})
+    for r in got:
+        ids_ = enc.encode_ordinary(text[r["doc_id"]])
+        assert r["n_tokens"] == len(ids_) and r["ids_sha256"] == hashlib.sha256(np.array(ids_, "<u4").tobytes()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(text[r["doc_id"]].encode()).hexdigest()
 
 
 def test_pipeline_near_copies(spark, tmp_path):
