@@ -1,7 +1,12 @@
 """A training corpus from `documents`: rejected by quality, exact and near copies out, mixed, tokenised.
 
 Each stage takes (spark, docs, sf_dir), works on all rows of docs and returns a DataFrame; all but the last keep the
-columns of documents. Rows with a null doc_id cannot be referred to: they pass the dedup stages and enter the mix once.
+columns of documents.
+
+Cases: rows with a null doc_id cannot be referred to: they pass the dedup stages and enter the mix once. Null and empty
+texts are equal, so one of them stays; rows that repeat a doc_id stay or go together; ties go to the doc_id named by the
+stage. Texts of any length are read whole. An empty table passes all stages; without labels of both classes nothing is
+rejected. Further columns of documents pass the first four stages unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -10,12 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from redactory.llm import quality_model
-from redactory.llm._common import kept, shared_path
+from redactory.llm._common import dropped, kept, shared_path
 from redactory.llm.bpe import byte_bpe
 from redactory.llm.exact_dedup import exact_dedup
 from redactory.llm.mixing import mixture
 from redactory.llm.queries import PATTERN, VOCABULARY
-from redactory.llm.similar import near_copies
+from redactory.llm.simhash import similar_documents
 
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -36,7 +41,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies (Jaccard index of 5-word shingles 0.8 or more) the row with the smallest doc_id."""
-    return without(docs, near_copies(docs, shingle=5, least=(4, 5)))
+    return without(docs, similar_documents(docs, shingle=5, least=(4, 5)).filter("id <> component"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,12 +52,15 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, n_tokens and the ids (little-endian unsigned 32-bit) with their digest, of every row."""
-    out = byte_bpe(docs, VOCABULARY, PATTERN, decode=False, keep=["doc_id", "source"])
-    return out.select("doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids")
+    """doc_id, source, n_tokens and the ids (little-endian unsigned 32-bit) with their digest and that of the bytes they
+    decode to, of every row; stops where those are not the text."""
+    out = byte_bpe(docs, VOCABULARY, PATTERN, keep=["doc_id", "source", "text"])
+    same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    told = F.when(same, F.sha2("decoded", 256)).otherwise(F.raise_error(F.lit("ids do not decode to the text")))
+    return out.select("doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), told.alias("decoded_sha256"), "ids")
 
 
-STAGES = [("quality classifier", quality), ("exact dedup", exact), ("near dedup", near), ("mixing", mix), ("byte-level BPE", encode)]
+STAGES = [("quality classifier", quality), ("exact dedup", exact), ("SimHash near-dedup", near), ("mixing", mix), ("byte-level BPE", encode)]
 
 #: The classifier's fit and the permutations of the mix are beyond SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
@@ -60,9 +68,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = shared_path(spark, name.replace(" ", "_"))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            dropped(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
