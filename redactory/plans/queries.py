@@ -292,15 +292,16 @@ _EXACT_TOLD = """
 #: costs go to a match or substitution, then an insertion, as the backtrace of the operator does.
 _WER_WORDS = "list_filter(regexp_split_to_array(regexp_replace(lower({t}), '[^\\w\\s'']', ' ', 'g'), '\\s+'), lambda x: x <> '')"
 _ALIGNED = f"""
-        sides AS (SELECT a.id, {_WER_WORDS.format(t='a.text')} AS r, {_WER_WORDS.format(t='b.text')} AS h FROM carrier a JOIN carrier b ON a.id = b.id AND a.seg = 0 AND b.seg = 1),
-        dp(id, r, h, i, cells) AS (
-          SELECT id, r, h, 0, list_transform(range(0, len(h) + 1), lambda j: j * ((1::BIGINT << 45) + (1::BIGINT << 15))) FROM sides
-          UNION ALL SELECT id, r, h, i + 1, list_reduce(list_prepend([(i + 1) * ((1::BIGINT << 45) + 1)], list_transform(range(1, len(h) + 1), lambda j: [j])),
+        ends AS (SELECT id, max(seg) AS last FROM carrier GROUP BY id),
+        sides AS (SELECT a.id, a.seg, {_WER_WORDS.format(t='a.text')} AS r, {_WER_WORDS.format(t="coalesce(b.text, '')")} AS h FROM carrier a JOIN ends USING (id) LEFT JOIN carrier b ON a.id = b.id AND b.seg = a.seg + 1 WHERE a.seg < last OR last = 0),
+        dp(id, seg, r, h, i, cells) AS (
+          SELECT id, seg, r, h, 0, list_transform(range(0, len(h) + 1), lambda j: j * ((1::BIGINT << 45) + (1::BIGINT << 15))) FROM sides
+          UNION ALL SELECT id, seg, r, h, i + 1, list_reduce(list_prepend([(i + 1) * ((1::BIGINT << 45) + 1)], list_transform(range(1, len(h) + 1), lambda j: [j])),
             lambda acc, x: list_append(acc, CASE WHEN r[i + 1] = h[x[1]] THEN cells[x[1]]
               WHEN cells[x[1]] >> 45 <= acc[-1] >> 45 AND cells[x[1]] >> 45 <= cells[x[1] + 1] >> 45 THEN cells[x[1]] + (1::BIGINT << 45) + (1::BIGINT << 30)
               WHEN acc[-1] >> 45 <= cells[x[1] + 1] >> 45 THEN acc[-1] + (1::BIGINT << 45) + (1::BIGINT << 15)
               ELSE cells[x[1] + 1] + (1::BIGINT << 45) + 1 END)) FROM dp WHERE i < len(r)),
-        aligned AS (SELECT id, CAST(cells[-1] >> 30 & 32767 AS INT) AS s, CAST(cells[-1] >> 15 & 32767 AS INT) AS n, CAST(cells[-1] & 32767 AS INT) AS d, len(r) AS n_ref, len(h) AS n_hyp FROM dp WHERE i = len(r)),
+        aligned AS (SELECT id, seg, CAST(cells[-1] >> 30 & 32767 AS INT) AS s, CAST(cells[-1] >> 15 & 32767 AS INT) AS n, CAST(cells[-1] & 32767 AS INT) AS d, len(r) AS n_ref, len(h) AS n_hyp FROM dp WHERE i = len(r)),
         rated AS (SELECT *, round(CASE WHEN n_ref = 0 AND n_hyp = 0 THEN 0 WHEN n_ref = 0 THEN 'inf'::DOUBLE ELSE (s + n + d)::DOUBLE / n_ref END, 6) AS rate FROM aligned)"""
 _STATUS = "CASE WHEN {n} = 0 THEN 'PASS' WHEN {n} <= 2 AND {s} = 0 THEN 'PASS_WITH_NOTE' WHEN {n} <= 2 THEN 'REVIEW_REQUIRED' ELSE 'FAIL' END"
 _LEV = "list_position(['PASS', 'PASS_WITH_NOTE', 'REVIEW_REQUIRED', 'FAIL'], {x})"
@@ -336,8 +337,8 @@ ORACLE_SQL = {
     "verify_text_status": _with("""SELECT id, status AS text_status, status AS overall_status, CASE WHEN n = 0 THEN '' WHEN n <= 2 THEN 'Text: ' || n || ' PII match(es) found, manual review recommended'
         ELSE 'Text: ' || n || ' PII instances leaked - check bleep alignment' END AS notes FROM judged""", _EXACT_TOLD, _found_in("told"), _JUDGED),
     "status_counts": _with("SELECT x.status, count(id) AS n FROM (VALUES ('PASS'), ('PASS_WITH_NOTE'), ('REVIEW_REQUIRED'), ('FAIL')) AS x(status) LEFT JOIN judged j ON j.status = x.status GROUP BY x.status",
-                           "told AS MATERIALIZED (SELECT id, 0 AS seg, min(text) AS text FROM carrier WHERE id % 3 > 0 GROUP BY id)", _found_in("told"), _JUDGED),
-    "wer_pairs": _with("SELECT id, s AS substitutions, n AS insertions, d AS deletions, n_ref AS reference_words, n_hyp AS hypothesis_words, rate AS wer FROM rated", _ALIGNED).replace("WITH", "WITH RECURSIVE", 1),
+                           _EXACT_TOLD, _found_in("told"), _JUDGED),
+    "wer_pairs": _with("SELECT id, seg, s AS substitutions, n AS insertions, d AS deletions, n_ref AS reference_words, n_hyp AS hypothesis_words, rate AS wer FROM rated", _ALIGNED).replace("WITH", "WITH RECURSIVE", 1),
     "wer_batch": _with("""SELECT round(coalesce(sum(s + n + d)::DOUBLE / nullif(sum(n_ref), 0), 0), 4) AS aggregate_wer, round(coalesce(avg(rate) FILTER (n_ref > 0), 0), 4) AS mean_wer, round(avg(rate), 4) AS mean_wer_all,
         CAST(sum(s) AS BIGINT) AS substitutions, CAST(sum(n) AS BIGINT) AS insertions, CAST(sum(d) AS BIGINT) AS deletions, CAST(sum(n_ref) AS BIGINT) AS reference_words, count(*) AS num_samples FROM rated""", _ALIGNED).replace("WITH", "WITH RECURSIVE", 1),
 }
