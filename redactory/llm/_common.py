@@ -30,9 +30,9 @@ def shared_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
+def written(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
     """df as a Parquet table in the shared folder, so that readers of few columns read no others."""
-    path = shared_path(df.sparkSession, tag)
+    path = path or shared_path(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

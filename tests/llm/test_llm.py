@@ -98,6 +98,15 @@ def test_simhash_components(spark):
     assert len(got) == len(rows) and all(r["component"] == up[r["id"]] for r in got)
 
 
+def test_components_alike_at_every_size(spark):
+    from redactory.llm.simhash import components
+
+    pairs = [(b, a) for a, b in (sorted(RNG.sample(range(300), 2)) for _ in range(260))]
+    edges = spark.createDataFrame(pairs, "a long, b long")
+    one, many = ({(r["node"], r["component"]) for r in components(edges, small=n).collect()} for n in (1000, 0))
+    assert one == many and len(one) > 100
+
+
 def test_covering_masks_and_large_buckets(spark):
     m = masks(3)
     for _ in range(2000):
@@ -138,6 +147,27 @@ def test_warc(spark):
     assert packed[:4] == warc.MAGIC and list(warc.unpack(packed)) == records
 
 
+def test_warc_repeated_and_null_ids(spark, tmp_path):
+    a, b = "<p>" + TALK(40), "<p>" + TALK(41)
+    rows = [(5, None, a), (5, None, b), (1, None, a), (2, None, b), (None, "u", a), (None, "u", a), (None, "u", "<b>" + TALK(30)), (7, "u", a), (7, "u", a), (8, "u", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    records = warc.read_archives(spark.read.schema(warc.ARCHIVES).parquet(warc.write_archives(pages, str(tmp_path / "w")))).collect()
+    digest = lambda t: hashlib.sha256(text(t).encode()).hexdigest()
+    first = {a: 1, b: 2}
+    want = sorted((i or 0, digest(h), first[h] if h in first and i != first[h] else 0) for i, _, h in rows)
+    assert sorted((r["page_id"] or 0, r["payload_digest"], r["refers_to"] or 0) for r in records) == want
+    assert {bytes(r["payload"]).decode() for r in records if r["record_type"] == "response"} == {text(h) for _, _, h in rows}
+    folder = str(tmp_path)
+
+    def save(name, content):
+        with open(f"{folder}/{name}", "wb") as f:
+            f.write(content)
+
+    warc.export(spark.read.schema(warc.ARCHIVES).parquet(str(tmp_path / "w")), save)
+    files = list(tmp_path.glob("*.warc.zst"))
+    assert files and sum(len(list(warc.unpack(f.read_bytes()))) - 1 for f in files) == len(rows)
+
+
 def test_pii(docs):
     got = {r["id"]: r for r in pii_crf.find_pii(docs, None).collect()}
     assert [(s["kind"]) for s in got[15]["base"]] == ["email", "phone", "ip", "card"]
