@@ -1,19 +1,22 @@
 """Personal data by patterns and a skip-chain conditional random field.
 
 Base spans come from four patterns (email, ip, card, phone). A CRF adds spans: its nodes are the words that hold a
-digit or an "@", its labels the four kinds and "other". Chain edges join nodes that stand at most two words apart;
-skip edges join each node to the next one of the document with the same key (its digits, or its letters around
-an "@", six characters at least), however far away. Words inside base spans are observed; loopy belief propagation
-then carries their labels along both kinds of edges, so that a repeated token is labelled alike throughout the
-document. A word outside all base spans is added where its marginal for a kind is at least `sure`.
-
-Weights are fitted by pseudo-likelihood (softmax regression on a node's own features and its neighbours' base
-labels) on a bounded sample: the nodes of fit_docs documents with the smallest hashed ids, fit_nodes nodes at most.
-Skip edges follow a list, not all pairs of a group, so a token repeated n times has n - 1 edges.
+digit or an "@", its labels the four kinds and "other". A node's own potentials come from its shape, from whether its
+digits pass Luhn's test or are four octets, and from the word before it. Chain edges join nodes that stand at most two
+words apart. Skip edges join nodes that share a key, however far away: the same digits, the same last seven digits, the
+same word, or the part of an address before its "@" (six characters at least). They run through one shared node a key,
+so a token repeated n times has n edges and every repeat is two steps from every other. Words inside base spans are
+observed; loopy belief propagation carries their labels along both kinds of edges until the messages settle, so that
+equal and similar tokens are labelled alike throughout the document. A word outside all base spans is added where its
+marginal for a kind is at least `sure`.
+
+Weights are fitted by pseudo-likelihood (softmax regression on a node's own features, its neighbours' base labels and
+the commonest label of other nodes with its key) on a bounded sample: the nodes of fit_docs documents with the smallest
+hashed ids, fit_nodes nodes at most.
 
 Cases: null and empty texts have no spans; texts of any length are read whole, and every pattern takes time linear
 in the text; equal rows get equal spans; where the sample has no base span nothing is added; offsets are code
-points, end exclusive.
+points, end exclusive. An empty table gives no rows. Columns besides the id and the text are not read; null ids stay.
 """
 
 from __future__ import annotations
@@ -38,7 +41,7 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 WORD = re.compile(r"[^ \x09-\x0D]*[0-9@][^ \x09-\x0D]*")
 NODE = re.compile(r"[^ \x09-\x0D]+")
 EDGES = "\"'()[]{}<>,;:!?*#$%&|."
-FEATURES, LABELS = 128, 5
+FEATURES, LABELS = 196, 5
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -75,16 +78,33 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def node_features(word: str) -> list[int]:
-    """Indices below FEATURES of a word's shape."""
-    digits, letters = sum(c.isdigit() for c in word), sum(c.isalpha() for c in word)
+def node_features(word: str, before: str) -> list[int]:
+    """Indices below FEATURES of a word's shape, what its digits are, and the word before it."""
+    own = "".join(filter(str.isdecimal, word))
+    digits, letters = len(own), sum(map(str.isalpha, word))
     shape = re.sub(r"[a-z]+", "a", re.sub(r"[A-Z]+", "A", re.sub(r"[0-9]", "0", word)))[:24]
-    return [min(digits, 20), 21 + min(letters, 10), 32 + min(word.count("."), 4), 37 + min(word.count("-"), 4), 42 + word.startswith("+"), 44 + ("@" in word), 46 + min(len(word) // 2, 15), 64 + crc32(shape.encode()) % 64]
+    parts = word.split(".")
+    octets = len(parts) == 4 and all(x.isascii() and x.isdecimal() and len(x) < 4 and int(x) < 256 for x in parts)
+    card = 14 <= digits <= 19 and not letters and own.isascii() and luhn(own)
+    return [min(digits, 20), 21 + min(letters, 10), 32 + min(word.count("."), 4), 37 + min(word.count("-"), 4), 42 + word.startswith("+"), 44 + ("@" in word), 46 + min(len(word) // 2, 15), 64 + crc32(shape.encode()) % 64,
+            128 + card, 130 + octets, 132 + crc32(before.lower().encode()) % 64]
+
+
+def keys_of(word: str) -> list[str]:
+    """What makes two nodes similar."""
+    low, digits = word.lower(), "".join(filter(str.isdecimal, word))
+    out = [low] if len(low) >= 6 else []
+    if len(low.partition("@")[0]) >= 6 and "@" in low:
+        out.append(low.partition("@")[0])
+    if len(digits) >= 6 and not any(map(str.isalpha, word)):
+        out += ["=" + digits, *(["~" + digits[-7:]] if len(digits) >= 7 else [])]
+    return out
 
 
 def graph(text: str, base: list[tuple[int, int, int]]) -> tuple[list, list, list, list]:
-    """Nodes (start, end, features), their observed labels (0 outside base spans, else kind + 1), chain and skip edges."""
-    nodes, label, chain, skip, last, b = [], [], [], [], {}, 0
+    """Nodes (start, end, features), their observed labels (0 outside base spans, else kind + 1), chain edges, and the
+    groups of nodes that share a key."""
+    nodes, label, chain, groups, b = [], [], [], {}, 0
     before = None
     for m in WORD.finditer(text):
         start, end = m.span()
@@ -98,20 +118,33 @@ def graph(text: str, base: list[tuple[int, int, int]]) -> tuple[list, list, list
             b += 1
         seen = next((k + 1 for s, k, e in base[b : b + 4] if s < end and start < e), 0)
         word, i = text[start:end], len(nodes)
-        nodes.append((start, end, node_features(word)))
+        lead = text[max(0, start - 40) : start].split()
+        nodes.append((start, end, node_features(word, lead[-1] if lead else "")))
         label.append(seen)
         if before is not None and len(gap := text[before[1] : start]) <= 40 and len(gap.split()) <= 1:
             chain.append((before[0], i))
         before = (i, m.end())
-        key = word.lower() if "@" in word else "".join(filter(str.isdigit, word))
-        if len(key) >= 6:
-            if key in last:
-                skip.append((last[key], i))
-            last[key] = i
-    return nodes, label, chain, skip
-
-
-def fit(rows: list[tuple[list[int], int, list[int], list[int]]], steps: int = 300, l2: float = 1e-3) -> dict | None:
+        for key in keys_of(word):
+            groups.setdefault(key, []).append(i)
+    return nodes, label, chain, [g for g in groups.values() if len(g) > 1]
+
+
+def neighbours(label: list[int], chain: list, groups: list) -> list[tuple[list[int], list[int]]]:
+    """Of each node the labels of its chain neighbours, and of each of its groups the commonest label of the others."""
+    near: list = [([], []) for _ in label]
+    for x, y in chain:
+        near[x][0].append(label[y])
+        near[y][0].append(label[x])
+    for g in groups:
+        n = np.bincount([label[i] for i in g], minlength=LABELS)
+        for i in g:
+            n[label[i]] -= 1
+            near[i][1].append(int(n[1:].argmax()) + 1 if n[1:].any() else 0)
+            n[label[i]] += 1
+    return near
+
+
+def fit(rows: list[tuple[list[int], int, list[int], list[int]]], steps: int = 800, l2: float = 1e-4) -> dict | None:
     """Weights from (features, label, chain neighbours' labels, skip neighbours' labels) of nodes."""
     if not any(r[1] for r in rows):
         return None
@@ -132,22 +165,27 @@ def fit(rows: list[tuple[list[int], int, list[int], list[int]]], steps: int = 30
     return {"own": w[:FEATURES], "chain": (pair[0] + pair[0].T) / 2, "skip": (pair[1] + pair[1].T) / 2}
 
 
-def marginals(own: np.ndarray, chain: np.ndarray, skip: np.ndarray, model: dict, rounds: int = 12, damping: float = 0.3) -> np.ndarray:
-    """Loopy sum-product over log potentials own (nodes x labels) and edges (pairs of node indices)."""
+def marginals(own: np.ndarray, chain: np.ndarray, skip: np.ndarray, model: dict, damping: float = 0.3, settled: float = 1e-4, most_rounds: int = 500) -> np.ndarray:
+    """Loopy sum-product over log potentials own (nodes x labels) and edges (pairs of node indices), until no message
+    changes by more than `settled`; damped ever more, so that circles come to rest."""
     edges = np.concatenate([chain.reshape(-1, 2), skip.reshape(-1, 2)]).astype(np.int64)
     src, dst = np.concatenate([edges, edges[:, ::-1]]).T
     kind = np.tile(np.repeat([0, 1], [len(chain), len(skip)]), 2)
     pair = np.exp(np.clip(np.stack([model["chain"], model["skip"]]), -10, 10))[kind]
     back = np.roll(np.arange(len(src)), len(edges))
     msg = np.full((len(src), LABELS), -np.log(LABELS))
-    belief = own.copy()
-    for _ in range(rounds if len(edges) else 0):
+    belief = own + np.stack([np.bincount(dst, msg[:, k], len(own)) for k in range(LABELS)], 1)
+    for turn in range(most_rounds if len(edges) else 0):
         into = belief[src] - msg[back]
         into = np.exp(into - into.max(1, keepdims=True))
         new = np.log(np.einsum("ea,eab->eb", into, pair) + 1e-300)
         new -= np.log(np.exp(new - new.max(1, keepdims=True)).sum(1, keepdims=True)) + new.max(1, keepdims=True)
-        msg = damping * msg + (1 - damping) * new
+        keep = 1 - (1 - damping) / (1 + turn / 100)
+        new = keep * msg + (1 - keep) * new
+        change, msg = np.abs(np.exp(new) - np.exp(msg)).max(), new
         belief = own + np.stack([np.bincount(dst, msg[:, k], len(own)) for k in range(LABELS)], 1)
+        if change < settled:
+            break
     p = np.exp(belief - belief.max(1, keepdims=True))
     return p / p.sum(1, keepdims=True)
 
@@ -162,8 +200,10 @@ def added(graphs: list[tuple], model: dict | None, sure: float) -> list[list[tup
     own = np.array([model["own"][n[2]].sum(0) for g in graphs for n in g[0]])
     own[label > 0] = -30
     own[label > 0, label[label > 0]] = 30
-    edges = [np.array([(a + f, b + f) for g, f in zip(graphs, first, strict=False) for a, b in g[k]], np.int64).reshape(-1, 2) for k in (2, 3)]
-    p = marginals(own, *edges, model)
+    chain = np.array([(a + f, b + f) for g, f in zip(graphs, first, strict=False) for a, b in g[2]], np.int64).reshape(-1, 2)
+    groups = [(f, x) for g, f in zip(graphs, first, strict=False) for x in g[3]]
+    skip = np.array([(i + f, first[-1] + h) for h, (f, x) in enumerate(groups) for i in x], np.int64).reshape(-1, 2)
+    p = marginals(np.concatenate([own, np.zeros((len(groups), LABELS))]), chain, skip, model)[: first[-1]]
     for i in np.flatnonzero((label == 0) & (p[:, 1:].max(1) >= sure)):
         d = int(np.searchsorted(first, i, "right")) - 1
         start, end, _ = graphs[d][0][i - first[d]]
@@ -185,12 +225,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_d
             out: list = []
             for i, t in zip(b.column("id").to_pylist(), b.column("text"), strict=True):
                 t = t.as_py()
-                own, label, chain, skip = graph(t, base_spans(t))
-                near: list = [([], []) for _ in own]
-                for k, e in enumerate((chain, skip)):
-                    for x, y in e:
-                        near[x][k].append(label[y])
-                        near[y][k].append(label[x])
+                own, label, chain, groups = graph(t, base_spans(t))
+                near = neighbours(label, chain, groups)
                 out += [{"id": i, "at": n[0], "f": n[2], "y": y, "c": c, "s": s} for n, y, (c, s) in zip(own, label, near, strict=True)]
             if out:
                 yield pa.RecordBatch.from_pylist(out, pa.schema([("id", pa.int64()), ("at", pa.int64()), ("f", pa.list_(pa.int32())), ("y", pa.int32()), ("c", pa.list_(pa.int32())), ("s", pa.list_(pa.int32()))]))
