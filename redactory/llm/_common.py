@@ -37,6 +37,11 @@ def written(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def there(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def dropped(spark: SparkSession, path: str) -> None:
     """Deletes a folder of the shared storage that nothing reads any more."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -10,10 +10,13 @@ in that order until the source's token budget is met. All passes but the last ar
 Budgets are set so that the source that is cut most is still used whole (`budget` = "cover": no row is lost, others
 repeat) or so that the mix has as many tokens as the input (`budget` = "same": over-represented sources lose rows).
 
-No window is over a source: blocks bound it, and the order of blocks is a table of one row a block.
+No window is over the rows or blocks of a source: rows are ordered within blocks, blocks within one of 256 ranges of
+their hashes, and ranges by a table of 256 rows a source.
 
 Cases: null sources are a source of their own; null and blank texts count one token, so that every row can be
-placed; ties in the permutation go by id; an empty table gives no rows; one source alone keeps its rows once.
+placed; null ids are dealt to blocks by their text; ties in the permutation go by id, and rows that repeat an id are
+rows of their own; texts of any length are counted whole; an empty table gives no rows; one source alone keeps its rows
+once. Columns besides the three stated ones are not read.
 """
 
 from __future__ import annotations
@@ -72,7 +75,8 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     are those whose first token lies within the source's remaining budget. Sources are weighed on the driver and
     may be most_sources at most; with more of them the operator stops rather than drop any."""
     text = words_of(F.col(text_col))
-    rows = kept(docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(source_col).cast("string"), F.lit(NULL_SOURCE)).alias("source"), F.greatest(F.size(text), F.lit(1)).cast("long").alias("n_tokens")))
+    lot = F.coalesce(F.xxhash64(F.lit(seed), F.when(F.col(id_col).isNotNull(), F.col(id_col).cast("string")).otherwise(F.col(text_col))), F.lit(0))
+    rows = kept(docs.select(F.col(id_col).alias("id"), lot.alias("lot"), F.coalesce(F.col(source_col).cast("string"), F.lit(NULL_SOURCE)).alias("source"), F.greatest(F.size(text), F.lit(1)).cast("long").alias("n_tokens")))
     sums = rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens")).limit(most_sources + 1).collect()
     if len(sums) > most_sources:
         raise ValueError(f"over {most_sources} sources")
@@ -81,15 +85,19 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     plan = [(s, w, max(1, -(-tokens[s] // block_tokens)), int(q := round(size * w) // tokens[s]), round(size * w) - q * tokens[s]) for s, w in weight.items()]
     spark = docs.sparkSession
     plan = spark.createDataFrame(plan, "source string, weight double, blocks long, whole long, rest long")
-    rows = rows.join(F.broadcast(plan), "source").withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "id"), F.col("blocks")).cast("int"))
+    rows = rows.join(F.broadcast(plan), "source").withColumn("block", F.pmod(F.col("lot"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("pass", F.explode(F.expr("sequence(0, int(whole))")))
     last = F.col("pass") == F.col("whole")
     # the last pass: blocks in their order for that pass, each with the tokens before it
     sizes = rows.filter(last & (F.col("rest") > 0)).groupBy("source", "block", "pass", "rest").agg(F.sum("n_tokens").alias("in_block"))
-    turn = F.xxhash64(F.lit(seed), "source", "pass", "block")
-    ahead = sizes.withColumn("ahead", F.sum("in_block").over(W.partitionBy("source").orderBy(turn, "block").rowsBetween(W.unboundedPreceding, 0)) - F.col("in_block"))
+    # blocks stand in the order of their hashes: 256 ranges of those a source, which are counted first, then each by itself
+    sizes = kept(sizes.withColumn("turn", F.xxhash64(F.lit(seed), "source", "pass", "block")).withColumn("range", F.shiftright("turn", 56)))
+    whole = sizes.groupBy("source", "range").agg(F.sum("in_block").alias("in_range"))
+    whole = whole.withColumn("lead", F.sum("in_range").over(W.partitionBy("source").orderBy("range").rowsBetween(W.unboundedPreceding, 0)) - F.col("in_range"))
+    inside = F.sum("in_block").over(W.partitionBy("source", "range").orderBy("turn", "block").rowsBetween(W.unboundedPreceding, 0)) - F.col("in_block")
+    ahead = sizes.withColumn("inside", inside).join(whole.select("source", "range", "lead"), ["source", "range"]).withColumn("ahead", F.col("lead") + F.col("inside"))
     ahead = kept(ahead.select("source", "block", "pass", "ahead"))
-    own = W.partitionBy("source", "block", "pass").orderBy(F.xxhash64(F.lit(seed), "pass", "id"), "id", "n_tokens")
+    own = W.partitionBy("source", "block", "pass").orderBy(F.xxhash64(F.lit(seed), "pass", "lot"), "id", "n_tokens")
     placed = rows.filter(~last | (F.col("rest") > 0)).withColumns({"place": F.row_number().over(own) - 1, "_before": F.sum("n_tokens").over(own.rowsBetween(W.unboundedPreceding, 0)) - F.col("n_tokens")})
     out = placed.join(ahead, ["source", "block", "pass"], "left").filter(~last | (F.col("ahead") + F.col("_before") < F.col("rest")))
     return out.select("id", F.when(F.col("source") != NULL_SOURCE, F.col("source")).alias("source"), "n_tokens", F.col("pass").cast("int").alias("pass"), "block", "place", F.col("weight"))

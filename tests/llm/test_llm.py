@@ -261,6 +261,22 @@ def test_exact_dedup(docs, spark):
     assert got == {i: (k := max(j for j in low if low[j] == t), sum(x == t for x in low.values()), i == k) for i, t in low.items()}
     index = DigestIndex(spark, buckets=4)
     assert index.add(digests(docs)).count() == len(set(low.values())) == index.add(digests(docs)).count()
+    again = DigestIndex(spark, index.path, buckets=99)  # found by its path, with its own buckets
+    assert again.buckets == 4 and not any(r["kept"] for r in exact_dedup(docs.withColumn("doc_id", F.col("doc_id") + 100), again).collect())
+
+
+def test_exact_dedup_batches(spark):
+    """Copies on both sides of a batch's border, null and repeated ids: alike however many parts."""
+    rows = [(i, f"t{i % 17}") for i in range(200)] + [(None, "t3"), (None, "only"), (None, None), (5, ""), (199, "T3"), (199, "T3")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    low = lambda t: (t or "").lower()
+    want = sorted(str((i, max((j for j, u in rows if low(u) == low(t) and j is not None), default=None), sum(low(u) == low(t) for _, u in rows))) for i, t in rows)
+    for n in (1, 2, 5):
+        got = exact_dedup(df, batches=n).collect()
+        assert sorted(str((r["id"], r["keep_id"], r["group_size"])) for r in got) == want
+        assert all(r["kept"] == (r["id"] == r["keep_id"]) for r in got)
+    least = {(r["id"], r["keep_id"]) for r in exact_dedup(df, keep="min").collect()}
+    assert (20, 3) in least and (None, 3) in least
 
 
 def test_mixing(spark):
@@ -275,6 +291,12 @@ def test_mixing(spark):
     for s in tokens:
         used = sum(r["n_tokens"] for r in got if (r["source"] or mixing.NULL_SOURCE) == s)
         assert round(size * w[s]) <= used < round(size * w[s]) + 8 and used <= 4 * tokens[s] + 8
+    # every pass but the last is a permutation of the source; the last ends where the budget is met
+    passes = {}
+    for r in got:
+        passes.setdefault((r["source"], r["pass"]), []).append(r["id"])
+    for (s, k), ids in passes.items():
+        assert len(ids) == len(set(ids)) and ((s, k + 1) not in passes or sorted(map(str, ids)) == sorted(str(i) for i, _, t in rows if t == s))
     _, _, same = mixing.weights(tokens, budget="same")
     assert same == sum(tokens.values()) and 0 <= a <= 1
 
