@@ -82,8 +82,8 @@ def clean_asr(segments: Column, redacted_text: Column, text: Column) -> Column:
 
 
 def round1(x: Column) -> Column:
-    """One decimal, halves up."""
-    return F.round(x, 1)
+    """One decimal, halves to the even digit."""
+    return F.bround(x, 1)
 
 
 def bar(value: Column, most: Column, width: int = 50) -> Column:

@@ -6,6 +6,7 @@ is there."""
 from __future__ import annotations
 
 import io
+import time
 import wave
 
 import numpy as np
@@ -92,14 +93,22 @@ def decoded(files: DataFrame) -> DataFrame:
 
 
 def mask_files(files: DataFrame, regions: DataFrame, kind: str = "wav", frequency: float = 1000, amplitude: float = 0.5) -> DataFrame:
-    """(id, content) of masked audio from files (id, content) and regions (id, start_time, end_time, bleep_duration)."""
+    """(id, content, error, seconds) of masked audio from files (id, content) and regions (id, start_time, end_time,
+    bleep_duration). A file that cannot be read or written again has null content and an error; seconds is the time
+    spent on it."""
 
-    def f(content: pd.Series, spans: pd.Series) -> pd.Series:
-        def one(c: bytes, s) -> bytes:
-            rate, x = decode(c)
-            return encode(masked(x, rate, [(r["start_time"], r["end_time"], r["bleep_duration"]) for r in (s if s is not None else [])], frequency, amplitude), rate, kind)
-
-        return pd.Series([one(c, s) for c, s in zip(content, spans, strict=True)])
+    def f(content: pd.Series, spans: pd.Series) -> pd.DataFrame:
+        rows = []
+        for c, s in zip(content, spans, strict=True):
+            began = time.perf_counter()
+            try:
+                rate, x = decode(c)
+                out, error = encode(masked(x, rate, [(r["start_time"], r["end_time"], r["bleep_duration"]) for r in (s if s is not None else [])], frequency, amplitude), rate, kind), None
+            except Exception as e:  # a bad file is a row with an error, not a failed job
+                out, error = None, str(e) or type(e).__name__
+            rows.append((out, error, time.perf_counter() - began))
+        return pd.DataFrame(rows, columns=["content", "error", "seconds"])
 
     per = regions.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("start_time", "end_time", "bleep_duration"))).alias("spans"))
-    return files.join(per, "id", "left").select("id", F.pandas_udf(f, "binary")("content", "spans").alias("content"))
+    udf = F.pandas_udf(f, "content binary, error string, seconds double")
+    return files.join(per, "id", "left").select("id", udf("content", "spans").alias("m")).select("id", "m.*")

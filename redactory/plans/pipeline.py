@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -21,6 +22,7 @@ class Config:
     include_original: bool = True
     run_date: str = "1970-01-01"
     rate: int = 16000
+    audio_format: str = "wav"
 
 
 @dataclass
@@ -33,9 +35,11 @@ class Result:
     results: DataFrame
 
 
-def redact_transcripts(transcripts: DataFrame, config: Config | None = None, words_again: DataFrame | None = None) -> Result:
-    """The chain over transcripts (id, segments, audio_duration, error): every conversation ends as one row of
-    results, those with an error as failures of the stage "transcription"."""
+def redact_transcripts(transcripts: DataFrame, config: Config | None = None, again: DataFrame | None = None, masked: DataFrame | None = None) -> Result:
+    """The chain over transcripts (id, segments, audio_duration, error, and seconds if known): every conversation ends as
+    one row of results. One with an error is a failure of the stage "transcription"; one whose masking failed (masked:
+    id, error, seconds) of the stage "audio_redaction". again is the second transcription (id, segments, error,
+    seconds): a conversation it has no words of, because it failed or never came to it, is to be reviewed."""
     config = config or Config()
     ok = transcripts.filter("error IS NULL")
     words = detect.words_of(ok)
@@ -44,51 +48,90 @@ def redact_transcripts(transcripts: DataFrame, config: Config | None = None, wor
     texts = redact.with_log(redact.redact_text(words, matches, segments), redact.redaction_log(matches, config.include_original))
     texts = ok.select("id").join(texts, "id", "left").na.fill("", ["original_text", "redacted_text"]).na.fill(0, ["pii_count"])
     spans = regions.bleep_regions(matches, ok.select("id", F.col("audio_duration").alias("duration")))
-    checked = verify.verify(texts, words_again)
+    heard = unheard = None
+    if again is not None:
+        heard = detect.words_of(again.filter("error IS NULL"))
+        unheard = ok.select("id").join(again.select("id", F.coalesce("error", F.when(F.col("segments").isNull(), F.lit("no transcript"))).alias("error"), F.lit(True).alias("_came")), "id", "left")
+        unheard = unheard.select("id", F.when(F.col("_came").isNull(), F.lit("no transcript")).otherwise(F.col("error")).alias("error")).filter("error IS NOT NULL")
+    checked = verify.verify(texts, heard, unheard)
+    spent = [t.select("id", F.col("seconds").alias(f"_s{k}")) for k, t in enumerate((transcripts, masked, again)) if t is not None and "seconds" in t.columns]
     out = transcripts.select("id", "audio_duration", "error").join(texts.select("id", "pii_count"), "id", "left").join(checked.select("id", "overall_status"), "id", "left")
-    out = out.select(F.col("id").alias("conversation_id"), F.col("error").isNull().alias("success"), F.when(F.col("error").isNotNull(), "transcription").alias("stage"), "error", F.coalesce("pii_count", F.lit(0)).alias("pii_count"), F.col("overall_status").alias("status"), F.col("audio_duration").alias("duration"), F.lit(0.0).alias("processing_time_s"))
+    bad = masked.filter("error IS NOT NULL").select("id", F.col("error").alias("_masking")) if masked is not None else transcripts.select("id", F.lit(None).cast("string").alias("_masking")).limit(0)
+    out = out.join(bad, "id", "left")
+    for t in spent:
+        out = out.join(t, "id", "left")
+    seconds = sum((F.coalesce(c, F.lit(0.0)) for c in out.columns if c.startswith("_s")), F.lit(0.0))
+    stage = F.when(F.col("error").isNotNull(), "transcription").when(F.col("_masking").isNotNull(), "audio_redaction")
+    error = F.coalesce("error", "_masking")
+    out = out.select(F.col("id").alias("conversation_id"), error.isNull().alias("success"), stage.alias("stage"), error.alias("error"), F.coalesce("pii_count", F.lit(0)).alias("pii_count"), F.when(error.isNull(), F.col("overall_status")).alias("status"), F.col("audio_duration").alias("duration"), seconds.alias("processing_time_s"))
     return Result(words, matches, texts, spans, checked, out)
 
 
 def run(spark: SparkSession, audio_path: str, model: Callable, config: Config | None = None) -> Result:
-    """Audio in, everything out; writes below config.output if that is set."""
+    """Audio in, everything out; writes below config.output if that is set. The speech model hears each file once, and
+    once more when it is masked: what it heard is written, or held in the executors where there is no output."""
     config = config or Config()
+
+    def once(df: DataFrame, name: str) -> DataFrame:
+        if not config.output:
+            return df.persist()
+        df.write.mode("overwrite").parquet(f"{config.output}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{config.output}/{name}")
+
     files = io.require_files(io.audio_files(spark, audio_path))
-    heard = io.transcribe(files, model)
-    if config.output:  # the model runs once
-        heard.write.mode("overwrite").parquet(f"{config.output}/transcripts_raw")
-        heard = spark.read.parquet(f"{config.output}/transcripts_raw")
+    heard = once(io.transcribe(files, model), "transcripts_raw")
     first = redact_transcripts(heard, config)
-    silenced = audio.mask_files(files.select("id", "content"), first.regions)
+    transcribed = files.select("id", "content").join(heard.filter("error IS NULL").select("id"), "id", "left_semi")
+    silenced = once(audio.mask_files(transcribed, first.regions, config.audio_format), "audio")
     again = None
     if config.verify_audio:
-        again = detect.words_of(io.transcribe(silenced.withColumn("path", F.col("id")), model).filter("error IS NULL"))
-    got = redact_transcripts(heard, config, again) if config.verify_audio else first
+        again = once(io.transcribe(silenced.filter("error IS NULL").withColumn("path", F.col("id")), model), "qa/transcripts_again")
+    got = redact_transcripts(heard, config, again, silenced.select("id", "error", "seconds"))
     if config.output:
-        io.write_transcripts(got.redacted, f"{config.output}/transcripts_deid")
-        silenced.write.mode("overwrite").parquet(f"{config.output}/audio")
+        io.write_transcripts(got.redacted if config.include_original else got.redacted.drop("original_text"), f"{config.output}/transcripts_deid")
         report.manifest(got.results, config.run_date, rate=config.rate).write.mode("overwrite").json(f"{config.output}/metadata/manifest")
         io.write_report(report.qa_report(got.results, config.run_date), f"{config.output}/qa/processing_report")
     return got
 
 
+def load(name: str) -> Callable:
+    """The speech model "module:function"; see sources.files.transcribe."""
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
 def main(argv: list[str] | None = None) -> int:
-    """Redacts transcripts (JSON) below --input; 1 if any conversation failed."""
-    p = argparse.ArgumentParser(description="Redact transcripts")
-    p.add_argument("--input", required=True)
+    """Redacts audio (with --model) or transcripts (JSON); 1 if any conversation failed or there was nothing to do."""
+    p = argparse.ArgumentParser(description="Redact conversations")
+    where = p.add_mutually_exclusive_group(required=True)
+    where.add_argument("--input", help="a folder")
+    where.add_argument("--file", help="one file")
     p.add_argument("--output", required=True)
+    p.add_argument("--model", help="module:function that makes a speech model; without it the input is transcripts")
+    p.add_argument("--no-verify", action="store_true", help="do not transcribe the masked audio again")
+    p.add_argument("--format", default="wav", help="of the masked audio")
     p.add_argument("--date", default="1970-01-01")
     p.add_argument("--may-context", action="store_true")
     p.add_argument("--hide-original", action="store_true")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("redactory").getOrCreate()
-    df = io.transcripts(spark, a.input).withColumn("error", F.lit(None).cast("string"))
-    got = redact_transcripts(df, Config(a.output, False, a.may_context, not a.hide_original, a.date))
-    io.write_transcripts(got.redacted if not a.hide_original else got.redacted.drop("original_text"), f"{a.output}/transcripts_deid")
-    report.manifest(got.results, a.date).write.mode("overwrite").json(f"{a.output}/metadata/manifest")
-    io.write_report(report.qa_report(got.results, a.date), f"{a.output}/qa/processing_report")
+    config = Config(a.output, not a.no_verify, a.may_context, not a.hide_original, a.date, audio_format=a.format)
+    if a.model:
+        try:
+            got = run(spark, a.input or a.file, load(a.model), config)
+        except FileNotFoundError as e:
+            print(e)
+            return 1
+    else:
+        df = io.transcripts(spark, a.input or a.file).withColumn("error", F.lit(None).cast("string"))
+        got = redact_transcripts(df, config)
+        io.write_transcripts(got.redacted if not a.hide_original else got.redacted.drop("original_text"), f"{a.output}/transcripts_deid")
+        report.manifest(got.results, a.date).write.mode("overwrite").json(f"{a.output}/metadata/manifest")
+        io.write_report(report.qa_report(got.results, a.date), f"{a.output}/qa/processing_report")
     totals = report.summary(got.results).first()
     print(f"{totals['successful']} of {totals['total_conversations']} conversations, {totals['total_pii_redacted']} terms redacted")
+    for r in report.failures(got.results).orderBy("conversation_id").limit(20).collect():
+        print(f"failed: {r['conversation_id']} ({r['stage']}): {r['error']}")
     return int(totals["failed"] > 0)
 
 

@@ -319,7 +319,7 @@ ORACLE_SQL = {
     "bleep_regions": _with("SELECT id, region, n_matches, round(start_time, 6) AS start_time, round(end_time, 6) AS end_time, round(greatest(400.0::DOUBLE, (end_time - start_time) * 1000) / 1000, 6) AS bleep_duration FROM regions", REGIONS),
     "region_samples": _with("SELECT id, region, CAST(floor((start_time + 1.0::DOUBLE / 32000) * 16000) AS BIGINT) AS first_sample, CAST(floor((end_time + 1.0::DOUBLE / 32000) * 16000) AS BIGINT) AS end_sample FROM regions", REGIONS),
     "manifest": _with(f"SELECT CAST(id AS VARCHAR) AS conversation_id, duration AS duration_sec, 2 AS num_speakers, 16000 AS sample_rate, n > 0 AS has_pii, n AS pii_count, '{DATE}_v1' AS deid_version, 'pending' AS qa_status FROM results WHERE success", RESULTS),
-    "qa_summary": _with("SELECT count(*) AS total_conversations, count_if(success) AS successful, count_if(NOT success) AS failed, round(sum(duration) FILTER (success), 1) AS total_duration_sec, round(sum(duration) FILTER (success) / 60, 1) AS total_duration_min, CAST(sum(n) FILTER (success) AS BIGINT) AS total_pii_redacted FROM results", RESULTS),
+    "qa_summary": _with("SELECT count(*) AS total_conversations, count_if(success) AS successful, count_if(NOT success) AS failed, round_even(sum(duration) FILTER (success), 1) AS total_duration_sec, round_even(sum(duration) FILTER (success) / 60, 1) AS total_duration_min, CAST(sum(n) FILTER (success) AS BIGINT) AS total_pii_redacted FROM results", RESULTS),
     "failures": _with("SELECT CAST(id AS VARCHAR) AS conversation_id, 'transcription' AS stage, 'unreadable' AS error FROM results WHERE NOT success", RESULTS),
     "processing_times": _with("SELECT round(sum(duration / 4), 4) AS total, round(avg(duration / 4), 4) AS average, round(max(duration / 4), 4) AS longest FROM results", RESULTS),
     "category_bars": _with("SELECT category AS label, count(*) AS value, repeat('█', CAST(floor(count(*)::DOUBLE / max(count(*)) OVER () * 50) AS INT)) AS bar FROM exact GROUP BY category"),

@@ -38,10 +38,17 @@ def human_transcripts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def transcribe(files: DataFrame, model: Callable[[], Callable[[str, bytes], dict]]) -> DataFrame:
-    """(id, path, segments, audio_duration, error) by a speech model. model() is called once a task and returns a
-    function of (path, content) that gives a dict with segments and audio_duration; its failures become errors."""
+    """(id, path, segments, audio_duration, error, seconds) by a speech model. model() is called once a task and returns
+    a function of (path, content) that gives a dict with segments and audio_duration; its failures become errors. Words
+    are stripped of white space, and a word without a confidence has 1.0; seconds is the time spent on the file."""
+    import time
+
     import pandas as pd
 
+    def tidy(segments):
+        word = lambda w: {"word": (w["word"] or "").strip(), "start": w["start"], "end": w["end"], "confidence": 1.0 if w.get("confidence") is None else w["confidence"]}
+        return [{"text": s.get("text") or "", "start": s.get("start"), "end": s.get("end"), "words": [word(w) for w in s.get("words") or []]} for s in segments]
+
     segments = f"array<struct<text:string,start:double,end:double,words:array<{WORD}>>>"
 
     def run(batches):
@@ -49,14 +56,16 @@ def transcribe(files: DataFrame, model: Callable[[], Callable[[str, bytes], dict
         for pdf in batches:
             rows = []
             for r in pdf.itertuples():
+                began = time.perf_counter()
                 try:
                     got = one(r.path, r.content)
-                    rows.append((r.id, r.path, got["segments"], got.get("audio_duration"), None))
+                    row = (tidy(got["segments"]), got.get("audio_duration"), None)
                 except Exception as e:  # a conversation that fails is a row
-                    rows.append((r.id, r.path, None, None, str(e)))
-            yield pd.DataFrame(rows, columns=["id", "path", "segments", "audio_duration", "error"])
+                    row = (None, None, str(e) or type(e).__name__)
+                rows.append((r.id, r.path, *row, time.perf_counter() - began))
+            yield pd.DataFrame(rows, columns=["id", "path", "segments", "audio_duration", "error", "seconds"])
 
-    return files.select("id", "path", "content").mapInPandas(run, f"id string, path string, segments {segments}, audio_duration double, error string")
+    return files.select("id", "path", "content").mapInPandas(run, f"id string, path string, segments {segments}, audio_duration double, error string, seconds double")
 
 
 def pair_by_stem(asr: DataFrame, human: DataFrame) -> DataFrame:
