@@ -41,7 +41,7 @@ class DigestIndex:
         if path and there(spark, spec):
             buckets = spark.read.parquet(spec).first()["buckets"]
         else:
-            spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.parquet(spec)
+            spark.range(1, numPartitions=1).select(F.lit(buckets).alias("buckets")).write.parquet(spec)
         self.buckets = buckets
         self.table = "digest_index_" + "".join(c if c.isalnum() else "_" for c in self.path.rpartition("/")[2])
         spark.sql(f"CREATE TABLE IF NOT EXISTS {self.table} ({self.SCHEMA}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{self.path}'")
