@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .regions import bleep_regions
+
 try:
     import soundfile
 except ImportError:
@@ -92,6 +94,11 @@ def decoded(files: DataFrame) -> DataFrame:
     return files.withColumn("a", udf("content")).select(*files.columns, "a.*")
 
 
+def redact_audio(files: DataFrame, matches: DataFrame, durations: DataFrame, kind: str = "wav", frequency: float = 1000, amplitude: float = 0.5, **padding) -> DataFrame:
+    """mask_files() over the regions of matches; padding goes to regions.bleep_regions (before, after, min_ms)."""
+    return mask_files(files, bleep_regions(matches, durations, **padding), kind, frequency, amplitude)
+
+
 def mask_files(files: DataFrame, regions: DataFrame, kind: str = "wav", frequency: float = 1000, amplitude: float = 0.5) -> DataFrame:
     """(id, content, error, seconds) of masked audio from files (id, content) and regions (id, start_time, end_time,
     bleep_duration). A file that cannot be read or written again has null content and an error; seconds is the time

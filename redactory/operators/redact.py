@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import label_of
+from ..functions.text import full_text, label_of
 from .detect import covered
 
 
@@ -28,6 +28,30 @@ def redact_text(words: DataFrame, matches: DataFrame, segments: DataFrame | None
     return per.select("id", joined("original").alias("original_text"), joined("text").alias("redacted_text"), F.transform("s", lambda x: F.struct(x["seg"].alias("seg"), x["text"].alias("text"))).alias("segments"))
 
 
+def deidentified(words: DataFrame, matches: DataFrame, transcripts: DataFrame, include_original: bool = True) -> DataFrame:
+    """(conversation_id, original_text, redacted_text, segments, redactions, pii_count) of transcripts (id, segments).
+    A segment has its text, start and end, and its words (word, start, end); a match is one word there, its label, from
+    the match's start to its end, in the segment where it begins. original_text is the spoken segments' texts, stripped;
+    with include_original=False it and the redactions' originals are null."""
+    hit = covered(matches).join(matches.select("id", "word_idx", F.col("start_time").alias("_from"), F.col("end_time").alias("_to")), ["id", "word_idx"])
+    first = F.col("idx") == F.col("word_idx")
+    kept = words.join(hit, ["id", "idx"], "left").filter(F.col("word_idx").isNull() | first)
+    told = F.when(first, label_of(F.col("category"))).otherwise(F.col("word"))
+    word = F.struct(F.col("idx").cast("int").alias("idx"), told.alias("word"), F.coalesce("_from", "start_time").alias("start"), F.coalesce("_to", "end_time").alias("end"))
+    per = kept.groupBy("id", "seg").agg(F.array_sort(F.collect_list(word)).alias("w"))
+    per = per.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("seg", "w"))).alias("by_seg"))
+    spoken = lambda w: F.array_join(F.transform(w, lambda x: x["word"]), " ")
+    ws = lambda k: F.coalesce(F.try_element_at("by_seg", k), F.expr("cast(array() AS array<struct<idx:int,word:string,start:double,end:double>>)"))
+    segment = lambda s, k: F.struct(spoken(ws(k)).alias("text"), s["start"].alias("start"), s["end"].alias("end"), F.transform(ws(k), lambda x: F.struct(x["word"].alias("word"), x["start"].alias("start"), x["end"].alias("end"))).alias("words"))
+    out = transcripts.select("id", "segments").join(per, "id", "left")
+    out = out.select("id", full_text(F.col("segments")).alias("original_text"), F.transform("segments", segment).alias("segments"))
+    out = out.withColumn("redacted_text", F.array_join(F.transform("segments", lambda s: s["text"]), " "))
+    out = with_log(out, redaction_log(matches, include_original))
+    redactions = F.transform(F.coalesce("redactions", F.expr("cast(array() AS array<struct<word_idx:int,original:string,replacement:string,category:string,start_time:double,end_time:double,confidence:double,is_fuzzy:boolean>>)")), lambda r: r.dropFields("word_idx"))
+    original = F.col("original_text") if include_original else F.lit(None).cast("string")
+    return out.select(F.col("id").alias("conversation_id"), original.alias("original_text"), "redacted_text", "segments", redactions.alias("redactions"), F.size(redactions).alias("pii_count"))
+
+
 def redaction_log(matches: DataFrame, include_original: bool = True) -> DataFrame:
     """One row a match: (id, word_idx, original, replacement, category, start_time, end_time, confidence, is_fuzzy)."""
     original = F.col("text") if include_original else F.lit(None).cast("string")

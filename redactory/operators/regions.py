@@ -27,6 +27,15 @@ def merged(regions: DataFrame, gap: float = GAP) -> DataFrame:
     return out.withColumn("bleep_duration", F.greatest(F.lit(MIN_MS), (F.col("end_time") - F.col("start_time")) * 1000) / 1000)
 
 
+def with_matches(regions: DataFrame, padded_matches: DataFrame) -> DataFrame:
+    """regions with matches: array<struct<start_time, end_time, text, category>> of the padded matches inside, in order
+    of time. A merged region spans every match it was made of, and no other begins within it."""
+    m = padded_matches.filter("end_time >= start_time").select("id", F.struct("start_time", "end_time", "text", "category").alias("m"))
+    inside = (F.col("m.start_time") >= F.col("start_time")) & (F.col("m.start_time") <= F.col("end_time"))
+    per = regions.select("id", "region", "start_time", "end_time").join(m, "id").filter(inside).groupBy("id", "region").agg(F.array_sort(F.collect_list("m")).alias("matches"))
+    return regions.join(per, ["id", "region"], "left")
+
+
 def bleep_regions(matches: DataFrame, durations: DataFrame, **how) -> DataFrame:
     return merged(padded(matches, durations, **how))
 

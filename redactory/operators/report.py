@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..functions.text import bar, round1
 from .verify import STATUSES
@@ -28,7 +29,8 @@ def qa_report(results: DataFrame, timestamp: str) -> DataFrame:
     """One row, shaped as the report file: a list of failures and a map of times are part of it, so it is meant for
     batches whose report a reader can open; summary(), failures() and verify.status_counts() scale to any number."""
     counts = F.map_from_arrays(F.array(*map(F.lit, STATUSES)), F.array(*(F.count_if(F.col("success") & (F.col("status") == s)) for s in STATUSES)))
-    times = F.map_from_entries(F.collect_list(F.struct("conversation_id", "processing_time_s")))
+    results = results.withColumn("processing_time_s", F.max("processing_time_s").over(W.partitionBy("conversation_id")))
+    times = F.map_from_entries(F.collect_set(F.struct("conversation_id", "processing_time_s")))  # an id that repeats has its longest time
     lists = results.agg(counts.alias("verification_status"), F.filter(F.collect_list(F.when(~F.col("success"), F.struct("conversation_id", "stage", "error"))), lambda x: x.isNotNull()).alias("failures"), times.alias("processing_times"))
     return summary(results).select(F.lit(timestamp).alias("timestamp"), F.struct("*").alias("summary")).crossJoin(F.broadcast(lists))  # one row each
 

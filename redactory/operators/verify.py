@@ -65,6 +65,24 @@ def verify(redacted: DataFrame, words_again: DataFrame | None = None, failures:
     return out.withColumns({"overall_status": overall(F.col("text_status"), F.col("audio_status")), "notes": F.filter(F.array("text_note", "audio_note"), lambda x: x.isNotNull())})
 
 
+def findings(redacted: DataFrame, words_again: DataFrame | None = None) -> DataFrame:
+    """(id, text_pii_found, audio_pii_found): what verify() counts, each finding with its text, category, confidence,
+    is_fuzzy and times, in order; nulls stand for what a source does not know, and empty lists for no findings."""
+    kind = "array<struct<start_time:double,end_time:double,text:string,category:string,confidence:double,is_fuzzy:boolean,start:int,end:int>>"
+    none = lambda t: F.lit(None).cast(t)
+    texts = detect_in_text(redacted.select("id", F.col("redacted_text").alias("text"))).filter(~F.col("text").startswith("[") & ~F.col("text").endswith("]"))
+    parts = [("text", texts.select("id", none("double").alias("start_time"), none("double").alias("end_time"), "text", "category", none("double").alias("confidence"), none("boolean").alias("is_fuzzy"), "start", "end"))]
+    if words_again is not None:
+        parts.append(("audio", detect(words_again).select("id", "start_time", "end_time", "text", "category", "confidence", "is_fuzzy", none("int").alias("start"), none("int").alias("end"))))
+    out = redacted.select("id")
+    for source, found in parts:
+        first = F.array_sort(F.collect_list(F.struct("start", *(c for c in found.columns if c not in ("id", "start")))))
+        per = found.groupBy("id").agg(first.alias("_f"))
+        fields = F.transform("_f", lambda x: F.struct(*(x[c].alias(c) for c in ("start_time", "end_time", "text", "category", "confidence", "is_fuzzy", "start", "end"))))
+        out = out.join(per, "id", "left").withColumn(f"{source}_pii_found", F.coalesce(fields, F.expr(f"cast(array() AS {kind})"))).drop("_f")
+    return out if words_again is not None else out.withColumn("audio_pii_found", F.expr(f"cast(array() AS {kind})"))
+
+
 def status_counts(results: DataFrame, col: str = "overall_status") -> DataFrame:
     """(status, n) for all four statuses, zero where none."""
     all_ = results.sparkSession.createDataFrame([(s,) for s in STATUSES], "status string")

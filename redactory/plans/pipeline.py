@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import importlib
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 from ..operators import audio, detect, redact, regions, report, verify
 from ..sources import files as io
 
+SAMPLES = "samples/audio"
+log = logging.getLogger("redactory")
+
 
 @dataclass
 class Config:
@@ -23,6 +27,11 @@ class Config:
     run_date: str = "1970-01-01"
     rate: int = 16000
     audio_format: str = "wav"
+    pad_before: float = regions.PAD_BEFORE
+    pad_after: float = regions.PAD_AFTER
+    min_ms: float = regions.MIN_MS
+    frequency: float = 1000
+    amplitude: float = 0.5
 
 
 @dataclass
@@ -35,19 +44,20 @@ class Result:
     results: DataFrame
 
 
-def redact_transcripts(transcripts: DataFrame, config: Config | None = None, again: DataFrame | None = None, masked: DataFrame | None = None) -> Result:
+def redact_transcripts(transcripts: DataFrame, config: Config | None = None, again: DataFrame | None = None, masked: DataFrame | None = None, found: DataFrame | None = None) -> Result:
     """The chain over transcripts (id, segments, audio_duration, error, and seconds if known): every conversation ends as
     one row of results. One with an error is a failure of the stage "transcription"; one whose masking failed (masked:
     id, error, seconds) of the stage "audio_redaction". again is the second transcription (id, segments, error,
-    seconds): a conversation it has no words of, because it failed or never came to it, is to be reviewed."""
+    seconds): a conversation it has no words of, because it failed or never came to it, is to be reviewed. found are the
+    matches, where they are known."""
     config = config or Config()
     ok = transcripts.filter("error IS NULL")
     words = detect.words_of(ok)
-    matches = detect.detect(words, config.may_context)
+    matches = detect.detect(words, config.may_context) if found is None else found
     segments = ok.select("id", F.posexplode_outer("segments").alias("seg", "_s")).filter("seg IS NOT NULL").select("id", "seg")
     texts = redact.with_log(redact.redact_text(words, matches, segments), redact.redaction_log(matches, config.include_original))
     texts = ok.select("id").join(texts, "id", "left").na.fill("", ["original_text", "redacted_text"]).na.fill(0, ["pii_count"])
-    spans = regions.bleep_regions(matches, ok.select("id", F.col("audio_duration").alias("duration")))
+    spans = regions.bleep_regions(matches, ok.select("id", F.col("audio_duration").alias("duration")), before=config.pad_before, after=config.pad_after, min_ms=config.min_ms)
     heard = unheard = None
     if again is not None:
         heard = detect.words_of(again.filter("error IS NULL"))
@@ -80,20 +90,28 @@ def run(spark: SparkSession, audio_path: str, model: Callable, config: Config |
 
     files = io.require_files(io.audio_files(spark, audio_path))
     heard = once(io.transcribe(files, model), "transcripts_raw")
-    first = redact_transcripts(heard, config)
+    found = once(detect.detect(detect.words_of(heard.filter("error IS NULL")), config.may_context), "qa/matches")
+    first = redact_transcripts(heard, config, found=found)
     transcribed = files.select("id", "content").join(heard.filter("error IS NULL").select("id"), "id", "left_semi")
-    silenced = once(audio.mask_files(transcribed, first.regions, config.audio_format), "audio")
+    silenced = once(audio.mask_files(transcribed, first.regions, config.audio_format, config.frequency, config.amplitude), "audio")
     again = None
     if config.verify_audio:
         again = once(io.transcribe(silenced.filter("error IS NULL").withColumn("path", F.col("id")), model), "qa/transcripts_again")
-    got = redact_transcripts(heard, config, again, silenced.select("id", "error", "seconds"))
+    got = redact_transcripts(heard, config, again, silenced.select("id", "error", "seconds"), found)
     if config.output:
-        io.write_transcripts(got.redacted if config.include_original else got.redacted.drop("original_text"), f"{config.output}/transcripts_deid")
-        report.manifest(got.results, config.run_date, rate=config.rate).write.mode("overwrite").json(f"{config.output}/metadata/manifest")
-        io.write_report(report.qa_report(got.results, config.run_date), f"{config.output}/qa/processing_report")
+        write(got, heard, config)
+        verify.findings(got.redacted, detect.words_of(again.filter("error IS NULL")) if again is not None else None).write.mode("overwrite").json(f"{config.output}/qa/findings")
     return got
 
 
+def write(got: Result, transcripts: DataFrame, config: Config) -> None:
+    """De-identified transcripts, manifest and report below config.output."""
+    deid = redact.deidentified(got.words, got.matches, transcripts.filter("error IS NULL"), config.include_original)
+    io.write_transcripts(deid, f"{config.output}/transcripts_deid")
+    report.manifest(got.results, config.run_date, rate=config.rate).write.mode("overwrite").json(f"{config.output}/metadata/manifest")
+    io.write_report(report.qa_report(got.results, config.run_date), f"{config.output}/qa/processing_report")
+
+
 def load(name: str) -> Callable:
     """The speech model "module:function"; see sources.files.transcribe."""
     module, _, function = name.partition(":")
@@ -106,6 +124,7 @@ def main(argv: list[str] | None = None) -> int:
     where = p.add_mutually_exclusive_group(required=True)
     where.add_argument("--input", help="a folder")
     where.add_argument("--file", help="one file")
+    where.add_argument("--test", dest="input", action="store_const", const=SAMPLES, help=f"the samples in {SAMPLES}")
     p.add_argument("--output", required=True)
     p.add_argument("--model", help="module:function that makes a speech model; without it the input is transcripts")
     p.add_argument("--no-verify", action="store_true", help="do not transcribe the masked audio again")
@@ -113,7 +132,12 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--date", default="1970-01-01")
     p.add_argument("--may-context", action="store_true")
     p.add_argument("--hide-original", action="store_true")
+    p.add_argument("--verbose", action="store_true")
     a = p.parse_args(argv)
+    logging.basicConfig(level=logging.DEBUG if a.verbose else logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
+    for noisy in ("py4j", "pyspark"):
+        logging.getLogger(noisy).setLevel(logging.WARNING)
+    log.info("output %s, second transcription %s", a.output, not a.no_verify and a.model is not None)
     spark = SparkSession.builder.appName("redactory").getOrCreate()
     config = Config(a.output, not a.no_verify, a.may_context, not a.hide_original, a.date, audio_format=a.format)
     if a.model:
@@ -125,10 +149,9 @@ def main(argv: list[str] | None = None) -> int:
     else:
         df = io.transcripts(spark, a.input or a.file).withColumn("error", F.lit(None).cast("string"))
         got = redact_transcripts(df, config)
-        io.write_transcripts(got.redacted if not a.hide_original else got.redacted.drop("original_text"), f"{a.output}/transcripts_deid")
-        report.manifest(got.results, a.date).write.mode("overwrite").json(f"{a.output}/metadata/manifest")
-        io.write_report(report.qa_report(got.results, a.date), f"{a.output}/qa/processing_report")
+        write(got, df, config)
     totals = report.summary(got.results).first()
+    log.info("statuses %s", {r["status"]: r["n"] for r in verify.status_counts(got.results.filter("success"), "status").collect()})
     print(f"{totals['successful']} of {totals['total_conversations']} conversations, {totals['total_pii_redacted']} terms redacted")
     for r in report.failures(got.results).orderBy("conversation_id").limit(20).collect():
         print(f"failed: {r['conversation_id']} ({r['stage']}): {r['error']}")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -17,7 +19,12 @@ TRANSCRIPT = f"conversation_id string, audio_path string, audio_duration double,
 
 def audio_files(spark: SparkSession, path: str) -> DataFrame:
     """(id, path, length, content) of audio files below path or of one file. Lazy: content is read when it is used."""
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", AUDIO).load(path)
+    try:
+        df = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", AUDIO).load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"not found: {path}") from e
+        raise
     return df.select(stem(F.col("path")).alias("id"), "path", "length", "content")
 
 
@@ -37,6 +44,30 @@ def human_transcripts(spark: SparkSession, path: str) -> DataFrame:
     return df.select(stem(F.col("_metadata.file_path")).alias("id"), F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
+def ordered(files: DataFrame) -> DataFrame:
+    """files by path, as a listing or a batch counts them. Sorted by ranges; leave out content first."""
+    return files.orderBy("path")
+
+
+def sizes(heard: DataFrame) -> DataFrame:
+    """(id, n_segments, n_words, audio_duration) of transcripts; nulls where a transcription failed."""
+    words = F.aggregate("segments", F.lit(0), lambda n, s: n + F.coalesce(F.size(s["words"]), F.lit(0)))
+    return heard.select("id", F.when(F.col("segments").isNotNull(), F.size("segments")).alias("n_segments"), words.alias("n_words"), "audio_duration")
+
+
+def device(wanted: str = "auto") -> tuple[str, str]:
+    """(device, number type) for a speech model, asked in the task: the GPU that Spark gave the task, else the CPU."""
+    if wanted == "auto":
+        task = TaskContext.get()
+        wanted = "cuda" if task and "gpu" in task.resources() else "cpu"
+    return wanted, "float16" if wanted == "cuda" else "float32"
+
+
+def transcribe_audio(spark: SparkSession, path: str, model: Callable) -> DataFrame:
+    """transcribe() of one file or of a folder's."""
+    return transcribe(require_files(audio_files(spark, path)), model)
+
+
 def transcribe(files: DataFrame, model: Callable[[], Callable[[str, bytes], dict]]) -> DataFrame:
     """(id, path, segments, audio_duration, error, seconds) by a speech model. model() is called once a task and returns
     a function of (path, content) that gives a dict with segments and audio_duration; its failures become errors. Words

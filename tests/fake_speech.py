@@ -8,8 +8,9 @@ SAID = {"a": "see you on Monday", "b": "all is well", "c": "call Denver now", "d
 def model():
     def hear(path: str, content: bytes) -> dict:
         name, again = os.path.basename(path).split(".")[0], "/" not in path
-        with open(os.environ["FAKE_SPEECH_LOG"], "a") as f:
-            f.write(f"{name} {again}\n")
+        if log := os.environ.get("FAKE_SPEECH_LOG"):  # a worker that began before the test does not have it
+            with open(log, "a") as f:
+                f.write(f"{name} {again}\n")
         if name == "broken" or again and name == "c":
             raise ValueError(f"cannot hear {name}")
         words = ["nothing", "here"] if again and name != "d" else SAID[name].split()
