@@ -4,7 +4,7 @@ Each row gets a cell of a dims x 2^bits grid; rows are sorted by the cell's plac
 so that no task holds more than its share, a hot cell included) and the sorted sequence is cut into runs of equal
 counts. A shard then covers a small box of every dimension, which min/max statistics can prune by.
 
-Cases: null metadata takes cell 0 of its dimension; null texts have size 1 and the checksum of no bytes; ties on
+Text categories are quantised by their rank among the distinct values. Cases: null metadata takes cell 0 of its dimension; null texts have size 1 and the checksum of no bytes; ties on
 the curve go by checksum and id, so equal texts stay together; an empty table gives no rows. Rows repeated in
 full get slots of their own. Columns besides the stated ones do not matter.
 """
@@ -18,13 +18,25 @@ from pyspark.sql import Window as W
 from ._common import kept
 
 
-def category_cell(col: Column, bits: int) -> Column:
-    """Cell of a text value; equal values share it."""
-    return F.coalesce(F.when(col.isNotNull(), F.pmod(F.xxhash64(col), F.lit(1 << bits))), F.lit(0)).cast("int")
+def category_bounds(docs: DataFrame, col: str, bits: int) -> list[tuple[int, str]]:
+    """(cell, least value) of a text column's cells: its distinct values in order, cut into 2^bits runs of equal
+    counts. At most 2^bits rows reach the driver, however many values there are."""
+    values, n = ranked(docs.select(F.col(col).alias("v")).filter("v IS NOT NULL").distinct(), ["v"])
+    cell = F.expr(f"cast((rank * {1 << bits}L) div {max(n, 1)}L AS int)")
+    return sorted((r["cell"], r["v"]) for r in values.groupBy(cell.alias("cell")).agg(F.min("v").alias("v")).collect())
 
 
-def log_cell(col: Column, bits: int, base: float = 2.0) -> Column:
-    return F.least(F.lit((1 << bits) - 1), F.coalesce(F.floor(F.log(base, F.greatest(col, F.lit(1)))), F.lit(0))).cast("int")
+def category_cell(col: Column, bounds: list[tuple[int, str]]) -> Column:
+    """Cell of a text value; cells are in the order of values, so that a shard's least and greatest value prune."""
+    out = F.lit(0)
+    for cell, least in bounds:  # each later bound that the value reaches replaces the one before
+        out = F.when(col >= F.lit(least), F.lit(cell)).otherwise(out)
+    return out.cast("int")
+
+
+def log_cell(col: Column, bits: int) -> Column:
+    """The number of a positive value's binary digits after the first."""
+    return F.least(F.lit((1 << bits) - 1), F.coalesce(F.length(F.bin(F.greatest(col, F.lit(1)))) - 1, F.lit(0))).cast("int")
 
 
 def range_cell(col: Column, low: Column, high: Column, bits: int) -> Column:
@@ -78,7 +90,7 @@ def ranked(df: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
 def hilbert_shards(docs: DataFrame, shards: int = 8, bits: int = 4, id_col: str = "doc_id", text_col: str = "text", categories: tuple[str, ...] = ("lang", "source")) -> DataFrame:
     """id, size, text_crc32, curve, shard, slot: law "rows", shard sizes differ by one row at most."""
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    df = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), *(category_cell(F.col(c), bits).alias(f"_c{i}") for i, c in enumerate(categories)))
+    df = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), *(category_cell(F.col(c), category_bounds(docs, c, bits)).alias(f"_c{i}") for i, c in enumerate(categories)))
     low, high = docs.agg(F.min(id_col), F.max(id_col)).first()
     df = df.withColumns({"_size": log_cell(F.col("size"), bits), "_id": range_cell(F.col("id"), F.lit(low or 0), F.lit(high or 0), bits)})
     cells = [f"_c{i}" for i in range(len(categories))] + ["_size", "_id"]

@@ -78,9 +78,50 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
+def _curve_sql(dims: int, bits: int) -> str:
+    """CTEs from `cells` (x0, x1, ...) to `curved` (curve), a step each; operands are the columns of the step before."""
+    xs = [f"x{i}" for i in range(dims)]
+    steps, last = [], "cells"
+
+    def step(change: str) -> None:
+        nonlocal last
+        steps.append(f"h{len(steps)} AS (SELECT * REPLACE ({change}) FROM {last})")
+        last = f"h{len(steps) - 1}"
+
+    for b in range(bits - 1, 0, -1):
+        low = (1 << b) - 1
+        for x in xs:
+            swap = f"(xor(x0, {x}) & {low})"
+            both = "" if x == "x0" else f", CASE WHEN ({x} & {low + 1}) > 0 THEN {x} ELSE xor({x}, {swap}) END AS {x}"
+            step(f"CASE WHEN ({x} & {low + 1}) > 0 THEN xor(x0, {low}) ELSE xor(x0, {swap}) END AS x0{both}")
+    for a, x in zip(xs, xs[1:], strict=False):
+        step(f"xor({a}, {x}) AS {x}")
+    flip = "0"
+    for b in range(1, bits):
+        flip = f"xor({flip}, CASE WHEN ({xs[-1]} & {1 << b}) > 0 THEN {(1 << b) - 1} ELSE 0 END)"
+    digits = [f"(((xor({x}, flip) >> {b}) & 1) << {b * dims + dims - 1 - i})" for b in range(bits) for i, x in enumerate(xs)]
+    return ", ".join([*steps, f"flipped AS (SELECT *, {flip} AS flip FROM {last})", f"curved AS (SELECT *, {' + '.join(digits)} AS curve FROM flipped)"])
+
+
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_simhash, op3_warc, op4_pii, op5_quality_rules, op6_mixing, op7_exact_dedup, op8_byte_bpe, op9_quality_model, op10_hilbert_shards)}
 
 ORACLE_SQL = {
+    "op10_hilbert_shards": f"""
+        WITH bytes AS (SELECT i, list_reduce([i] || range(0, 8), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) AS v FROM range(0, 256) r(i)),
+        crc AS MATERIALIZED (SELECT list(v ORDER BY i) AS tab FROM bytes),
+        d AS (SELECT doc_id, lang, source, strlen(coalesce(text, '')) + 1 AS size,
+              [4294967295::BIGINT] || list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT) AS b FROM documents),
+        langs AS (SELECT lang, (row_number() OVER (ORDER BY lang) - 1) * 16 // count(*) OVER () AS x FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL)),
+        sources AS (SELECT source, (row_number() OVER (ORDER BY source) - 1) * 16 // count(*) OVER () AS x FROM (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL)),
+        ids AS (SELECT min(doc_id) AS low, max(doc_id) - min(doc_id) + 1 AS wide FROM documents),
+        cells AS (SELECT doc_id, size, xor(list_reduce(b, lambda v, x: xor(v >> 8, tab[(xor(v, x) & 255) + 1])), 4294967295) AS text_crc32,
+              coalesce(langs.x, 0)::BIGINT AS x0, coalesce(sources.x, 0)::BIGINT AS x1, least(15, length(bin(size)) - 1)::BIGINT AS x2,
+              coalesce(least(15, floor((doc_id - low)::DOUBLE / wide::DOUBLE * 16)), 0)::BIGINT AS x3
+              FROM d CROSS JOIN crc CROSS JOIN ids LEFT JOIN langs USING (lang) LEFT JOIN sources USING (source)),
+        {_curve_sql(4, 4)},
+        placed AS (SELECT *, row_number() OVER (ORDER BY curve, text_crc32, doc_id NULLS FIRST) - 1 AS rank, count(*) OVER () AS n FROM curved),
+        cut AS (SELECT *, (rank * 8 + 7) // n AS shard FROM placed)
+        SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INT AS shard, rank - shard * n // 8 AS slot, NULL::INT AS grown_shard, curve FROM cut""",
     "op7_exact_dedup": """
         WITH t AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, text_sha256

@@ -365,6 +365,13 @@ def test_hilbert(docs, spark):
     assert [r["curve"] for r in walk] == list(range(1 << n * bits))
     assert all(sum(abs(a[k] - b[k]) for k in range(n)) == 1 for a, b in zip(walk, walk[1:]))  # neighbours on the curve touch
     got = hilbert.hilbert_shards(docs, shards=3).collect()
+    names = spark.createDataFrame([(f"v{i:03}",) for i in range(40)] + [("v007",)] * 30 + [(None,), ("",)], "v string")
+    bounds = hilbert.category_bounds(names, "v", 3)
+    cells = names.select("v", hilbert.category_cell(F.col("v"), bounds).alias("c")).distinct().collect()
+    ordered = sorted(r["v"] for r in cells if r["v"] is not None)
+    assert {r["v"]: r["c"] for r in cells} == {None: 0} | {v: i * 8 // len(ordered) for i, v in enumerate(ordered)}  # by rank among distinct values
+    sizes = spark.createDataFrame([(x,) for x in (1, 2, 3, 4, 7, 8, 1 << 14, 1 << 20)] + [(None,)], "n long")
+    assert [r[0] for r in sizes.select(hilbert.log_cell(F.col("n"), 4)).collect()] == [0, 1, 1, 2, 2, 3, 14, 15, 0]
     for s in range(3):
         slots = sorted(r["slot"] for r in got if r["shard"] == s)
         assert slots == list(range(len(slots))) and len(slots) in (len(DOCS) // 3, len(DOCS) // 3 + 1)
