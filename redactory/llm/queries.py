@@ -106,6 +106,19 @@ def _curve_sql(dims: int, bits: int) -> str:
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_simhash, op3_warc, op4_pii, op5_quality_rules, op6_mixing, op7_exact_dedup, op8_byte_bpe, op9_quality_model, op10_hilbert_shards)}
 
 ORACLE_SQL = {
+    "op1_suffix_dedup": """
+        WITH d AS (SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        places AS (SELECT doc_id, h, unnest(range(0, n - 49)) AS p FROM d WHERE n >= 50),
+        starts AS (SELECT doc_id, p, substring(h, 2 * p + 1, 100) AS s FROM places),
+        hits AS (SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY s) AS first_id FROM starts) WHERE doc_id > first_id),
+        marked AS (SELECT *, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50 THEN 0 ELSE 1 END AS opens FROM hits),
+        runs AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked),
+        spans AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM runs GROUP BY doc_id, run),
+        told AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
+        cut AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last_b, string_agg(substring(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+              FROM told JOIN d USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(head, '') || substring(h, 2 * coalesce(last_b, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN cut USING (doc_id)""",
     "op10_hilbert_shards": f"""
         WITH bytes AS (SELECT i, list_reduce([i] || range(0, 8), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) AS v FROM range(0, 256) r(i)),
         crc AS MATERIALIZED (SELECT list(v ORDER BY i) AS tab FROM bytes),
