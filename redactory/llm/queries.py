@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .bpe import byte_bpe
 from .exact_dedup import exact_dedup
 from .hilbert import hilbert_shards
-from . import pii_crf, quality_model
+from . import pii_crf, quality_model, vector_codes
 from .mixing import mixture
 from .quality_rules import RULES, quality_rules
 from .simhash import near_duplicates
@@ -78,6 +78,24 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, books = vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+    return out.withColumnRenamed("id", "vec_id").withColumn("codebooks_sha256", F.lit(vector_codes.books_digest(books)))
+
+
+def _lloyd_sql(rounds: int, wide: int) -> str:
+    """CTEs from parts (vec_id, p, x) and b0 (p, j, c), the first codebooks, to a<rounds>, the last assignment, and b<rounds>."""
+    steps = []
+    for r in range(rounds + 1):
+        far = "list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c)"
+        steps.append(f"a{r} AS MATERIALIZED (SELECT vec_id, p, x, min({{'d': {far}, 'j': j}}) AS m FROM parts JOIN b{r} USING (p) GROUP BY vec_id, p, x)")
+        if r < rounds:
+            means = ", ".join(f"floor(sum(x[{k}]) / count(*))" for k in range(1, wide + 1))
+            steps.append(f"n{r} AS (SELECT p, m.j AS j, [{means}] AS c FROM a{r} GROUP BY p, m.j)")
+            steps.append(f"b{r + 1} AS MATERIALIZED (SELECT p, j, coalesce(n{r}.c, b{r}.c) AS c FROM b{r} LEFT JOIN n{r} USING (p, j))")
+    return ", ".join(steps)
+
+
 def _curve_sql(dims: int, bits: int) -> str:
     """CTEs from `cells` (x0, x1, ...) to `curved` (curve), a step each; operands are the columns of the step before."""
     xs = [f"x{i}" for i in range(dims)]
@@ -103,7 +121,7 @@ def _curve_sql(dims: int, bits: int) -> str:
     return ", ".join([*steps, f"flipped AS (SELECT *, {flip} AS flip FROM {last})", f"curved AS (SELECT *, {' + '.join(digits)} AS curve FROM flipped)"])
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_simhash, op3_warc, op4_pii, op5_quality_rules, op6_mixing, op7_exact_dedup, op8_byte_bpe, op9_quality_model, op10_hilbert_shards)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_simhash, op3_warc, op4_pii, op5_quality_rules, op6_mixing, op7_exact_dedup, op8_byte_bpe, op9_quality_model, op10_hilbert_shards, op11_vector_codes)}
 
 ORACLE_SQL = {
     "op1_suffix_dedup": """
@@ -135,6 +153,15 @@ ORACLE_SQL = {
         placed AS (SELECT *, row_number() OVER (ORDER BY curve, text_crc32, doc_id NULLS FIRST) - 1 AS rank, count(*) OVER () AS n FROM curved),
         cut AS (SELECT *, (rank * 8 + 7) // n AS shard FROM placed)
         SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INT AS shard, rank - shard * n // 8 AS slot, NULL::INT AS grown_shard, curve FROM cut""",
+    "op11_vector_codes": f"""
+        WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)) AS e FROM embeddings
+              WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        parts AS MATERIALIZED (SELECT vec_id, p, e[p * 16 + 1 : p * 16 + 16] AS x FROM v, range(0, 4) r(p)),
+        b0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS j, x AS c FROM parts QUALIFY j < 256),
+        {_lloyd_sql(4, 16)},
+        told AS (SELECT vec_id, string_agg(lower(lpad(to_hex(m.j), 2, '0')), '' ORDER BY p) AS code, sum(m.d)::BIGINT AS error FROM a4 GROUP BY vec_id),
+        digest AS (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: x::BIGINT), ','), ',' ORDER BY p, j)) AS codebooks_sha256 FROM b4)
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM told JOIN v USING (vec_id), digest""",
     "op7_exact_dedup": """
         WITH t AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, text_sha256
