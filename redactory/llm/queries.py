@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from .bpe import byte_bpe
 from .exact_dedup import exact_dedup
 from .hilbert import hilbert_shards
+from .importance import importance
 from . import pii_crf, quality_model, vector_codes
+from .minhash import minhash_documents
 from .mixing import mixture
 from .quality_rules import RULES, quality_rules
 from .simhash import near_duplicates
@@ -83,6 +85,16 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "vec_id").withColumn("codebooks_sha256", F.lit(vector_codes.books_digest(books)))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = minhash_documents(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
 def _lloyd_sql(rounds: int, wide: int) -> str:
     """CTEs from parts (vec_id, p, x) and b0 (p, j, c), the first codebooks, to a<rounds>, the last assignment, and b<rounds>."""
     steps = []
@@ -121,9 +133,38 @@ def _curve_sql(dims: int, bits: int) -> str:
     return ", ".join([*steps, f"flipped AS (SELECT *, {flip} AS flip FROM {last})", f"curved AS (SELECT *, {' + '.join(digits)} AS curve FROM flipped)"])
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_simhash, op3_warc, op4_pii, op5_quality_rules, op6_mixing, op7_exact_dedup, op8_byte_bpe, op9_quality_model, op10_hilbert_shards, op11_vector_codes)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_simhash, op3_warc, op4_pii, op5_quality_rules, op6_mixing, op7_exact_dedup, op8_byte_bpe, op9_quality_model, op10_hilbert_shards, op11_vector_codes, op12_minhash, op13_importance)}
+
+#: CTEs of the checksums' table (crc) and an expression for the checksum of a list of byte values after 2^32 - 1.
+_CRC = """bytes AS (SELECT i, list_reduce([i] || range(0, 8), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) AS v FROM range(0, 256) r(i)),
+        crc AS MATERIALIZED (SELECT list(v ORDER BY i) AS tab FROM bytes)"""
+_CRC_OF = "xor(list_reduce({b}, lambda v, x: xor(v >> 8, tab[(xor(v, x) & 255) + 1])), 4294967295)"
 
 ORACLE_SQL = {
+    "op12_minhash": """
+        WITH RECURSIVE t AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
+        sets AS MATERIALIZED (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+              ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM t),
+        items AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+        links AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+              GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+        reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+        least_ids AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+        SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id, doc_id <= coalesce(b, doc_id) AS kept FROM sets LEFT JOIN least_ids ON a = doc_id""",
+    "op13_importance": f"""
+        WITH {_CRC},
+        texts AS (SELECT doc_id, true AS own, text FROM documents UNION ALL SELECT NULL, false, text FROM benchmark),
+        words AS MATERIALIZED (SELECT doc_id, own, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM texts),
+        kinds AS (SELECT w, [4294967295::BIGINT] || list_transform(regexp_extract_all(hex(encode(w)), '..'), lambda x: ('0x' || x)::BIGINT) AS b FROM (SELECT DISTINCT w FROM words)),
+        places AS MATERIALIZED (SELECT w, {_CRC_OF.format(b="b")} % 10000 AS bucket FROM kinds, crc),
+        sums AS (SELECT bucket, count_if(own) AS s, count_if(NOT own) AS t FROM words JOIN places USING (w) GROUP BY bucket),
+        totals AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM sums),
+        gain AS MATERIALIZED (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (s_all + 10000)::DOUBLE / ((s + 1)::DOUBLE * (t_all + 10000)::DOUBLE)))::BIGINT AS g FROM sums, totals),
+        per AS (SELECT doc_id, count(*) AS n, sum(g)::BIGINT AS weight FROM words JOIN places USING (w) JOIN gain USING (bucket) WHERE own GROUP BY doc_id),
+        scored AS (SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id)[:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM documents LEFT JOIN per USING (doc_id)),
+        able AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank FROM scored LEFT JOIN able USING (doc_id)""",
     "op1_suffix_dedup": """
         WITH d AS (SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents),
         places AS (SELECT doc_id, h, unnest(range(0, n - 49)) AS p FROM d WHERE n >= 50),
@@ -138,14 +179,13 @@ ORACLE_SQL = {
         SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
                sha256(unhex(coalesce(head, '') || substring(h, 2 * coalesce(last_b, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN cut USING (doc_id)""",
     "op10_hilbert_shards": f"""
-        WITH bytes AS (SELECT i, list_reduce([i] || range(0, 8), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) AS v FROM range(0, 256) r(i)),
-        crc AS MATERIALIZED (SELECT list(v ORDER BY i) AS tab FROM bytes),
+        WITH {_CRC},
         d AS (SELECT doc_id, lang, source, strlen(coalesce(text, '')) + 1 AS size,
               [4294967295::BIGINT] || list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT) AS b FROM documents),
         langs AS (SELECT lang, (row_number() OVER (ORDER BY lang) - 1) * 16 // count(*) OVER () AS x FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL)),
         sources AS (SELECT source, (row_number() OVER (ORDER BY source) - 1) * 16 // count(*) OVER () AS x FROM (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL)),
         ids AS (SELECT min(doc_id) AS low, max(doc_id) - min(doc_id) + 1 AS wide FROM documents),
-        cells AS (SELECT doc_id, size, xor(list_reduce(b, lambda v, x: xor(v >> 8, tab[(xor(v, x) & 255) + 1])), 4294967295) AS text_crc32,
+        cells AS (SELECT doc_id, size, {_CRC_OF.format(b="b")} AS text_crc32,
               coalesce(langs.x, 0)::BIGINT AS x0, coalesce(sources.x, 0)::BIGINT AS x1, least(15, length(bin(size)) - 1)::BIGINT AS x2,
               coalesce(least(15, floor((doc_id - low)::DOUBLE / wide::DOUBLE * 16)), 0)::BIGINT AS x3
               FROM d CROSS JOIN crc CROSS JOIN ids LEFT JOIN langs USING (lang) LEFT JOIN sources USING (source)),

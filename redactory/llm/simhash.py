@@ -14,12 +14,9 @@ similar_documents() links by similarity of the shingle sets instead of bits. At
 differ in about 10 of 64 bits, and covering that radius would take thousands of tables. So besides the covering tables
 of the whole document's fingerprint, whose links are candidates, a document gets `samples` further fingerprints, each
 the SimHash of `width` shingles, those of least hash under permutations of the sample's own; equal ones (radius 0, one
-table each) make candidates. A pair at index j misses all of them with a chance of (1 - j^width)^samples, 3 in a
-million at 0.8. In each bucket all rows are compared with the row that most other rows share buckets with, on their
-whole sets. Where a bucket is then not yet one group, each row outside that row's group is compared with a row drawn
-from the group and with one elected among those outside, `repairs` times. So a bucket gives pairs in proportion to its
-rows. Every link that is reported is exact; a link may be missed where both its texts are outside the groups of all
-their buckets' elected rows in every turn (the README has measured figures).
+table each) are buckets. A pair at index j shares no bucket with a chance of (1 - j^width)^samples, 3 in a million at 0.8;
+of the pairs that share one, set_links.linked() loses none: it compares each row with one elected row of its buckets and
+finds what that leaves open by an exact prefix filter.
 
 Cases: null, empty and blank texts have fingerprint zero and are linked like any other; texts with fewer words
 than a shingle are one shingle; texts of any length are hashed in blocks; repeated rows share a fingerprint. Rows with a
@@ -36,30 +33,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from ._common import dropped, kept, shared_path, skew_join, written
+from ._common import kept, skew_join, written
+from .set_links import _then_none, linked, named, shingle_hashes, shingle_set
 
 BLOCK, PAIRWISE = 1 << 15, 6000
-#: Ids of 8 bytes each that are sent to every task instead of being shuffled.
-SENT = 500_000
-#: Edges whose components are found in one task.
-SMALL = 1_000_000
-
-
-def shingle_hashes(text: str, shingle: int = 3, seed: int = 42) -> np.ndarray:
-    """The XXH64 of each shingle in turn; none where there is no word."""
-    words = text.encode().lower().split()  # bytes.lower() and bytes.split() know A-Z and \x09-\x0D, space only
-    if not words:
-        return np.zeros(0, np.uint64)
-    hash_of = xxhash.xxh64_intdigest
-    joined = b" ".join(words)
-    n = len(words) - shingle + 1
-    if n <= 1:
-        return np.array([hash_of(joined, seed)], np.uint64)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])[:n].tolist()
-    return np.fromiter((hash_of(joined[a:b], seed) for a, b in zip(starts, ends[shingle - 1 :].tolist(), strict=True)), np.uint64, n)
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -167,69 +145,6 @@ def links(nodes: DataFrame, radius: int = 3) -> DataFrame:
     return keyed.repartition("t", "key").sortWithinPartitions("t", "key").mapInArrow(linked, "a long, b long").distinct()
 
 
-def _then_none(items: Iterable) -> Iterator:
-    yield from items
-    yield None
-
-
-def joined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """components() of all edges in one pass."""
-    parts = [[b.column(c).to_numpy() for c in ("a", "b")] for b in batches]
-    if not parts:
-        return
-    a, b = (np.concatenate(x) for x in zip(*parts, strict=True))
-    name, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-    up = list(range(len(name)))
-
-    def find(i: int) -> int:
-        while up[i] != i:
-            up[i] = up[up[i]]
-            i = up[i]
-        return i
-
-    for i, j in zip(at[: len(a)].tolist(), at[len(a) :].tolist(), strict=True):
-        i, j = find(i), find(j)
-        up[max(i, j)] = min(i, j)
-    least = np.fromiter((find(i) for i in range(len(up))), np.int64, len(up))
-    own = np.flatnonzero(least != np.arange(len(up)))
-    yield pa.RecordBatch.from_arrays([pa.array(name[own]), pa.array(name[least[own]])], ["node", "component"])
-
-
-def components(edges: DataFrame, most_rounds: int = 60, small: int = SMALL) -> DataFrame:
-    """node, component (its smallest reachable node) for every node of edges (a, b), b < a, that reaches a smaller one.
-
-    Up to `small` edges, of 16 bytes each, are joined in one task; more of them in rounds of distributed stars."""
-    edges, before = kept(edges), None
-    if edges.count() <= small:
-        return edges.coalesce(1).mapInArrow(joined, "node long, component long")
-    for _ in range(most_rounds):
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == before or not now[0]:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        before = now
-        # large-star: larger neighbours of a node go to its smallest one
-        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        star = both.filter("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("a"), F.col("m").alias("b")).filter("a > b").distinct()
-        # small-star: a node and its smaller neighbours go to the smallest of those
-        star = kept(star)
-        least = star.groupBy("a").agg(F.min("b").alias("m"))
-        small_star = star.join(least.hint("merge"), "a")
-        edges = kept(small_star.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a > b").union(least.select("a", "m")).distinct())
-    raise RuntimeError(f"components have not settled in {most_rounds} rounds")
-
-
-def named(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """nodes (node, least, ...) with component: the smallest `least` that a chain of edges reaches."""
-    found = nodes.join(components(edges).hint("merge"), "node", "left").withColumn("_c", F.coalesce("component", "node")).drop("component")
-    found = kept(found)
-    linked = found.filter("_c <> node").select("_c").distinct()  # most nodes stand alone
-    best = kept(found.join(linked.hint("merge"), "_c", "left_semi").groupBy("_c").agg(F.min("least").alias("component"), F.count("*").alias("_n")))
-    together = skew_join(found, best, "_c", "_n").drop("_n")
-    alone = found.join(best.select("_c").hint("merge"), "_c", "left_anti").withColumn("component", F.col("least"))
-    return together.unionByName(alone).drop("_c")
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
     """id, fp, component: the smallest id that a chain of links reaches, for every row of docs."""
     own = kept(fingerprints(docs, id_col, text_col, shingle))
@@ -238,11 +153,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return skew_join(own, nodes, "fp", "n").select("id", "fp", "component")
 
 
-def shingle_set(hashes: np.ndarray) -> np.ndarray:
-    """The distinct ones, sorted; a blank text has one element, zero, so that blank texts are equal."""
-    return np.unique(hashes) if len(hashes) else np.zeros(1, np.uint64)
-
-
 def permutations(samples: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Factors and summands of permutations of 32-bit numbers, a column each."""
     odd, add = np.random.default_rng(samples * 1000 + width).integers(0, 2**32, (2, samples * width, 1), dtype=np.uint32)
@@ -283,84 +193,16 @@ def described(docs: DataFrame, id_col: str, text_col: str, shingle: int, samples
     return written(rows.mapInArrow(made, "id long, text string, fp long, key binary, sig array<long>").withColumn("row", F.monotonically_increasing_id()), "described")
 
 
-def verified(pairs: DataFrame, own: DataFrame, shingle: int, least: tuple[int, int], salts: int = 64) -> DataFrame:
-    """The distinct pairs (a, b) of rows of own whose whole sets have a Jaccard index of least[0] / least[1] or more; kept.
-
-    The set of b stands once before those of its many a; it is held, they stream by. A b of very many pairs is dealt
-    to as many as `salts` places."""
-    p, q = least
-
-    def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                b = batch.slice(lo, 500)
-                yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([shingle_set(shingle_hashes(t.as_py() or "", shingle)).tobytes() for t in b.column("text")], pa.binary())], ["node", "bits"])
-
-    def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, None
-        for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            for i, (a, b, bits) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("bits"), strict=True)):
-                own_set = np.frombuffer(bits.as_buffer(), np.uint64)
-                if a is None:
-                    at, held = b, own_set.copy()
-                    continue
-                if at != b:
-                    raise ValueError("a pair came without its other set")
-                n, m = len(own_set), len(held)
-                if q * min(n, m) >= p * max(n, m):
-                    both = len(np.intersect1d(own_set, held, assume_unique=True))
-                    keep[i] = q * both >= p * (n + m - both)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
-
-    pairs = kept(pairs.select("a", "b", F.pmod(F.xxhash64("a"), F.lit(salts)).alias("salt")))
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    few = pairs.count() < SENT
-    sets = own.join(F.broadcast(nodes) if few else nodes.hint("merge"), own["row"] == nodes["node"]).select("node", "text")
-    path = shared_path(own.sparkSession, "sets")
-    sets = written(sets.mapInArrow(hashed, "node long, bits binary"), "sets", path)
-    told = pairs.join(sets.withColumnRenamed("node", "a").hint("merge"), "a").select("a", "b", "salt", "bits")
-    heads = pairs.select("b", "salt").distinct().join(sets.withColumnRenamed("node", "b").hint("merge"), "b")
-    heads = heads.select(F.lit(None).cast("long").alias("a"), "b", "salt", "bits")
-    both = told.unionByName(heads).repartition("b", "salt").sortWithinPartitions("b", "salt", F.asc_nulls_first("a"))
-    out = kept(both.mapInArrow(compared, "a long, b long"))
-    dropped(own.sparkSession, path)
-    return out
-
-
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: tuple[int, int] = (4, 5), radius: int = 3, samples: int = 24, width: int = 4, repairs: int = 2) -> DataFrame:
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: tuple[int, int] = (4, 5), radius: int = 3, samples: int = 24, width: int = 4) -> DataFrame:
     """id, fp, component: the smallest id that a chain of similar pairs reaches, for every row of docs."""
     own = described(docs, id_col, text_col, shingle, samples, width)
     nodes = kept(own.groupBy("key").agg(F.min("row").alias("node"), F.min("id").alias("least"), F.count("*").alias("size")))
     reps = own.join(nodes.select(F.col("node").alias("row")).hint("merge"), "row", "left_semi").select(F.col("row").alias("node"), "fp", "sig")
-    rows = reps.select("node", F.posexplode("sig").alias("t", "key"))
-    # candidates by the whole fingerprint: rows with an equal one, and links between unequal ones
+    rows = reps.select("node", F.posexplode("sig").alias("t", "key")).select(F.xxhash64("t", "key").alias("bucket"), "node")
+    # candidates by the whole fingerprint: rows with an equal one are a bucket, and links join unequal ones
     prints = kept(reps.select("node", "fp"))
-    heads = prints.groupBy("fp").agg(F.min("node").alias("b"), F.count("*").alias("n"))
-    equal = skew_join(prints, kept(heads.filter("n > 1")), "fp", "n").filter("node > b").select(F.col("node").alias("a"), "b")
-    by_print = equal.union(links(heads.select("fp", F.col("b").alias("node")), radius))
-    # candidates by samples: the row most others of its buckets share buckets with
-    bucket = W.partitionBy("t", "key")
-    rows = written(rows.withColumn("c", F.count("*").over(bucket)).filter("c > 1"), "buckets")
-    rows = rows.join(rows.groupBy("node").agg(F.sum("c").alias("pop")).hint("merge"), "node")
-    by_pop = F.struct("pop", (-F.col("node")).alias("neg"))
-    rows = written(rows.withColumn("center", F.max_by("node", by_pop).over(bucket)).drop("c"), "buckets")
-    star = rows.filter("node <> center").select(F.col("node").alias("a"), F.col("center").alias("b"))
-    tried = kept(by_print.union(star).distinct())
-    edges = verified(tried, own, shingle, least)
-    for turn in range(repairs):
-        group = components(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-        left = rows.join(group.hint("merge"), "node", "left").withColumn("g", F.coalesce("component", "node")).drop("component")
-        left = left.withColumns({"lo": F.min("g").over(bucket), "hi": F.max("g").over(bucket), "cg": F.max(F.when(F.col("node") == F.col("center"), F.col("g"))).over(bucket)}).filter("lo < hi")
-        out, draw = F.col("g") != F.col("cg"), F.xxhash64(F.lit(turn), "t", "node")
-        other = F.max_by(F.when(out, F.struct("node", "g")), F.when(out, by_pop if turn == 0 else F.struct(draw))).over(bucket)
-        mate = F.max_by(F.when(~out, F.col("node")), F.when(~out, draw)).over(bucket)
-        left = left.withColumns({"other": other, "mate": mate})
-        rows = written(left.drop("lo", "hi", "cg", "g", "other", "mate"), "buckets") if turn + 1 < repairs else rows
-        new = left.filter(out).select(F.col("node").alias("a"), F.explode(F.array(F.when(F.col("g") != F.col("other.g"), F.col("other.node")), F.col("mate"))).alias("b")).filter("b IS NOT NULL").distinct()
-        back = tried.select(F.col("b").alias("a"), F.col("a").alias("b"))
-        new = kept(new.join(tried.union(back).hint("merge"), ["a", "b"], "left_anti"))
-        tried, edges = tried.union(new), kept(edges.union(verified(new, own, shingle, least)))
-    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    heads = prints.groupBy("fp").agg(F.min("node").alias("node"))
+    rows = rows.union(prints.select(F.xxhash64(F.lit(-1), "fp"), "node"))
+    edges = linked(rows, own, shingle, least, links(heads.select("fp", "node"), radius))
     found = kept(named(nodes, edges).select("key", "size", "component"))
     return skew_join(own.select("id", "fp", "key"), found, "key", "size").select("id", "fp", "component")
