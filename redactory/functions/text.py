@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,18 +34,35 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)^\s+|\s+$", "")
 
 
-def may_is_month(text: Column, start: Column, end: Column, around: int = 20) -> Column:
+# What tells the month from the verb, in the lower-cased characters around it, and how many of those.
+MONTH_CUES = (
+    r"\b(?:in|during|last|next|this|of|since|before|after|until|by)\s+may\b",
+    r"\bmay\s+\d{1,2}(?:st|nd|rd|th)?\b",
+    r"\bmay\s+of\s+\d{4}\b",
+    r"^may\s+\d",
+)
+AROUND = 20
+# End of fixed values.
+_CUES = tuple(map(re.compile, MONTH_CUES))
+
+
+def may_is_month(text: Column, start: Column, end: Column) -> Column:
     """Whether the characters around [start, end) speak of the month: a preposition before "may", a day number after
     it, "may of" with a year, or the window opens with "may" and a digit. Any "may" in the window counts."""
-    low = F.greatest(start - around, F.lit(0))
-    window = F.lower(F.substring(text, low + 1, F.least(F.length(text), end + around) - low))
-    cues = (r"(?U)\b(?:in|during|last|next|this|of|since|before|after|until|by)\s+may\b", r"(?U)\bmay\s+\d{1,2}(?:st|nd|rd|th)?\b", r"(?U)\bmay\s+of\s+\d{4}\b", r"(?U)^may\s+\d")
+    low = F.greatest(start - AROUND, F.lit(0))
+    window = F.lower(F.substring(text, low + 1, F.least(F.length(text), end + AROUND) - low))
     out = F.lit(False)
-    for cue in cues:
-        out = out | window.rlike(cue)
+    for cue in MONTH_CUES:
+        out = out | window.rlike(f"(?U){cue}")
     return out
 
 
+def speaks_of_month(text: str, start: int, end: int) -> bool:
+    """may_is_month() of one text, for functions that run in tasks."""
+    window = text[max(0, start - AROUND) : end + AROUND].lower()
+    return any(cue.search(window) for cue in _CUES)
+
+
 def label_of(category: Column) -> Column:
     known = F.create_map(*(F.lit(x) for kv in LABELS.items() for x in kv))
     return F.coalesce(F.try_element_at(known, category), F.concat(F.lit("["), F.upper(category), F.lit("]")))
@@ -81,10 +100,5 @@ def clean_asr(segments: Column, redacted_text: Column, text: Column) -> Column:
     return _plain(F.when(segments.isNotNull(), joined).otherwise(F.coalesce(redacted_text, text, F.lit(""))))
 
 
-def round1(x: Column) -> Column:
-    """One decimal, halves to the even digit."""
-    return F.bround(x, 1)
-
-
 def bar(value: Column, most: Column, width: int = 50) -> Column:
     return F.repeat(F.lit("█"), F.when(most > 0, F.floor(value / most * width)).otherwise(0).cast("int"))

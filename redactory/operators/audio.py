@@ -8,9 +8,11 @@ from __future__ import annotations
 import io
 import time
 import wave
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,23 +36,48 @@ def tone(seconds: float, rate: int = 16000, frequency: float = 1000, amplitude:
     return out
 
 
+def tone_part(seconds: float, lo: int, hi: int, rate: int = 16000, frequency: float = 1000, amplitude: float = 0.5, fade_s: float = 0.010) -> np.ndarray:
+    """Samples lo to hi of tone(), to the bit, without making the others."""
+    n = int(seconds * rate)
+    lo, hi = max(lo, 0), min(hi, n)
+    at = np.arange(lo, max(lo, hi))
+    t = at * (seconds / (n - 1)) if n > 1 else at * 0.0
+    t[at == n - 1] = seconds if n > 1 else 0.0
+    out = (amplitude * np.sin(2 * np.pi * frequency * t.astype(np.float32))).astype(np.float32)
+    fade = int(fade_s * rate)
+    if n > 2 * fade > 0:
+        rise = np.linspace(0, 1, fade, dtype=np.float32)
+        out[at < fade] *= rise[at[at < fade]]
+        fall = at >= n - fade
+        out[fall] *= np.linspace(1, 0, fade, dtype=np.float32)[at[fall] - (n - fade)]
+    return out
+
+
+def mono(raw: bytes, width: int, channels: int) -> np.ndarray:
+    """Float32 samples of whole frames of that many bytes a sample; channels are averaged."""
+    if width == 3:
+        x = np.frombuffer(raw, np.uint8).reshape(-1, 3)
+        x = (np.pad(x, ((0, 0), (1, 0))).reshape(-1).view("<i4") / 2.0**31).astype(np.float32)
+    else:
+        x = (np.frombuffer(raw, np.uint8).astype(np.float32) - 128) / 128 if width == 1 else np.frombuffer(raw, f"<i{width}").astype(np.float32) / 2.0 ** (8 * width - 1)
+    return x.reshape(-1, channels).mean(1, dtype=np.float32)
+
+
 def decode(content: bytes) -> tuple[int, np.ndarray]:
-    """(rate, mono float32 samples); channels are averaged."""
+    """(rate, mono float32 samples)."""
     if content[:4] == b"RIFF":
         with wave.open(io.BytesIO(content)) as w:
-            width, raw = w.getsampwidth(), w.readframes(w.getnframes())
-            if width == 3:
-                x = np.frombuffer(raw, np.uint8).reshape(-1, 3)
-                x = (np.pad(x, ((0, 0), (1, 0))).reshape(-1).view("<i4") / 2.0**31).astype(np.float32)
-            else:
-                x = (np.frombuffer(raw, np.uint8).astype(np.float32) - 128) / 128 if width == 1 else np.frombuffer(raw, f"<i{width}").astype(np.float32) / 2.0 ** (8 * width - 1)
-            return w.getframerate(), x.reshape(-1, w.getnchannels()).mean(1, dtype=np.float32)
+            return w.getframerate(), mono(w.readframes(w.getnframes()), w.getsampwidth(), w.getnchannels())
     if soundfile is None:
         raise ValueError("only WAV can be decoded without the soundfile package")
     x, rate = soundfile.read(io.BytesIO(content), dtype="float32", always_2d=True)
     return rate, x.mean(1)
 
 
+def pcm16(samples: np.ndarray) -> bytes:
+    return (np.clip(samples, -1, 1) * 32767).astype("<i2").tobytes()
+
+
 def encode(samples: np.ndarray, rate: int, kind: str = "wav") -> bytes:
     out = io.BytesIO()
     if kind != "wav":
@@ -60,7 +87,7 @@ def encode(samples: np.ndarray, rate: int, kind: str = "wav") -> bytes:
     else:
         with wave.open(out, "wb") as w:
             w.setnchannels(1), w.setsampwidth(2), w.setframerate(rate)
-            w.writeframes((np.clip(samples, -1, 1) * 32767).astype("<i2").tobytes())
+            w.writeframes(pcm16(samples))
     return out.getvalue()
 
 
@@ -119,3 +146,58 @@ def mask_files(files: DataFrame, regions: DataFrame, kind: str = "wav", frequenc
     per = regions.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("start_time", "end_time", "bleep_duration"))).alias("spans"))
     udf = F.pandas_udf(f, "content binary, error string, seconds double")
     return files.join(per, "id", "left").select("id", udf("content", "spans").alias("m")).select("id", "m.*")
+
+
+def masked_part(samples: np.ndarray, first: int, frames: int, rate: int, regions: list, frequency: float = 1000, amplitude: float = 0.5) -> np.ndarray:
+    """masked() of a file of that many frames, for the samples from frame first on."""
+    out, end = np.array(samples, np.float32), first + len(samples)
+    for start, stop, seconds in regions:
+        a, b = int(start * rate), min(int(stop * rate), frames)
+        lo, hi = max(a, first), min(b, end)
+        if hi > lo:
+            out[lo - first : hi - first] = 0
+            bleep = tone_part(seconds, lo - a, hi - a, rate, frequency, amplitude)
+            out[lo - first : lo - first + len(bleep)] = bleep
+    return out
+
+
+MASKED = "key string, name string, rate int, frames long, block long, pcm binary"
+
+
+def mask_blocks(blocks: DataFrame, heads: DataFrame, regions: DataFrame, block_bytes: int, frequency: float = 1000, amplitude: float = 0.5) -> DataFrame:
+    """MASKED: the blocks of files (sources.wav) as mono samples of 16 bits with a tone over the file's regions (id, the file's
+    key, start_time, end_time, bleep_duration). heads has each file once, with the name that its copy is to have; a file
+    with an error there is left out. What comes out is to the bit what mask_files() makes of the whole file.
+
+    Regions are cut at the borders of blocks, so that each meets the blocks that it touches. Files, regions and blocks
+    are dealt by file and sorted once; a task then holds one block and its regions."""
+    good = heads.filter("error IS NULL").select("key", "name", "rate", "frames", (F.col("channels") * F.col("width")).alias("_each"))
+    first, stop = (F.col("start_time") * F.col("rate")).cast("long"), F.least((F.col("end_time") * F.col("rate")).cast("long"), F.col("frames"))
+    spans = regions.select(F.col("id").alias("key"), "start_time", "end_time", F.col("bleep_duration").alias("seconds")).join(good, "key").filter(stop > first)
+    block_of = lambda frame: F.floor(frame * F.col("_each") / F.lit(block_bytes))
+    spans = spans.withColumn("block", F.explode(F.sequence(block_of(first), block_of(stop - 1))))
+    none = lambda kind: F.lit(None).cast(kind)
+    rows = good.select("key", F.lit(-1).cast("long").alias("block"), F.lit(0).alias("kind"), "name", "rate", "frames", none("long").alias("first_frame"), none("int").alias("channels"), none("int").alias("width"), none("binary").alias("pcm"), *(none("double").alias(c) for c in ("start_time", "end_time", "seconds")))
+    rows = rows.unionByName(spans.select("key", "block", F.lit(1).alias("kind"), "start_time", "end_time", "seconds"), allowMissingColumns=True)
+    rows = rows.unionByName(blocks.filter("error IS NULL").select("key", "block", F.lit(2).alias("kind"), "rate", "frames", "first_frame", "channels", "width", "pcm"), allowMissingColumns=True)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = name = at = None
+        spans: list[tuple] = []
+        for batch in batches:
+            for k in range(batch.num_rows):
+                r = {c: batch[c][k] for c in batch.schema.names}
+                kind, block = r["kind"].as_py(), r["block"].as_py()
+                if kind == 0:
+                    key, name = r["key"].as_py(), r["name"].as_py()
+                elif kind == 1:
+                    if at != (key, block):
+                        at, spans = (key, block), []
+                    spans.append((r["start_time"].as_py(), r["end_time"].as_py(), r["seconds"].as_py()))
+                elif r["key"].as_py() == key:
+                    rate, frames = r["rate"].as_py(), r["frames"].as_py()
+                    x = mono(r["pcm"].as_py(), r["width"].as_py(), r["channels"].as_py())
+                    out = pcm16(masked_part(x, r["first_frame"].as_py(), frames, rate, spans if at == (key, block) else [], frequency, amplitude))
+                    yield pa.RecordBatch.from_pydict({"key": [key], "name": [name], "rate": pa.array([rate], pa.int32()), "frames": pa.array([frames], pa.int64()), "block": pa.array([block], pa.int64()), "pcm": pa.array([out], pa.binary())})
+
+    return rows.repartition("key").sortWithinPartitions("key", "block", "kind", "start_time", "end_time").mapInArrow(run, MASKED)

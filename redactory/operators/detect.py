@@ -2,18 +2,27 @@
 
 words: (id, seg, idx, word, start_time, end_time), idx running over the whole conversation.
 matches: (id, word_idx, n_words, text, category, start_time, end_time, confidence, is_fuzzy).
+
+Words are shuffled once, by conversation. In one pass over its words in order, phrases are looked up in the broadcast
+vocabulary where a word opens a term, and words that may be misspelt in the index of functions.spelling; what is found
+streams, in order, through a function that keeps the last chosen phrase's end alone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import StructType
 
-from ..functions.lexicon import NEVER_FUZZY, first_by_rank, lexicon
-from ..functions.text import may_is_month, normalize_word
+from ..functions.lexicon import first_by_rank
+from ..functions.phrases import terms_in
+from ..functions.spelling import MIN_CONFIDENCE, can_be_near, near_term
+from ..functions.text import AROUND, may_is_month, normalize_word
 
-MAX_DISTANCE, MIN_CONFIDENCE, MIN_LENGTH, LENGTH_FOR_TWO, MOST_RELATIVE = 2, 0.7, 5, 7, 0.25
 MATCH = ["id", "word_idx", "n_words", "text", "category", "start_time", "end_time", "confidence", "is_fuzzy"]
 
 
@@ -29,59 +38,80 @@ def _extra(may_context: bool) -> dict[str, str] | None:
     return {"may": "month"} if may_context else None
 
 
-CANDIDATE = ["id", "idx", "n", "text", "category", "start_time", "end_time", "confidence", "is_fuzzy"]
+def _with_months(words: DataFrame, order) -> DataFrame:
+    """words (with norm) with _month: of "may", may_is_month() among its neighbours, as many as the characters looked at, each
+    being one at least."""
+    near = {f"_m{k}": F.lag("word", -k).over(order) for k in range(-AROUND - 1, AROUND + 2) if k}
+    w = words.withColumns(near).withColumn("_first", F.lag("idx").over(order).isNull())
+    may = F.col("norm") == "may"
+    side = lambda ks: F.array_join(F.array(*(F.col(f"_m{k}") if k else F.col("word") for k in ks)), " ")
+    w = w.withColumns({"_before": F.when(may & ~F.col("_first"), F.concat(side(range(-AROUND - 1, 0)), F.lit(" "))).otherwise(""), "_after": F.when(may, side(range(AROUND + 2)))})
+    w = w.withColumns({"_text": F.concat("_before", "_after"), "_at": F.length("_before")})
+    w = w.withColumn("_month", F.when(may, may_is_month(F.col("_text"), F.col("_at"), F.col("_at") + len("may"))))
+    return w.drop(*near, "_first", "_before", "_after", "_text", "_at")
 
 
-def _phrases(words: DataFrame, may_context: bool, longest: int) -> DataFrame:
-    """CANDIDATE of every phrase of up to `longest` words that is a term, overlaps included. Only at words that open a
-    term are phrases built."""
+def _candidates(words: DataFrame, may_context: bool, longest: int, phrases: bool = True, misspelt: bool = True) -> DataFrame:
+    """MATCH of every phrase of up to `longest` words that is a term, and of every word that is near one, overlaps
+    included; in order of (id, word_idx) in each partition."""
     order = W.partitionBy("id").orderBy("idx")
     w = words.withColumn("norm", normalize_word(F.col("word")))
-    if may_context:
-        before = F.coalesce(F.sum(F.length("word") + 1).over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-        w = w.withColumn("_at", before)
-    ahead = [(F.lead("norm", k).over(order), F.lead("word", k).over(order), F.lead("end_time", k).over(order)) for k in range(1, longest)]
-    w = w.withColumns({f"_{n}{k}": c for k, cols in enumerate(ahead, 1) for n, c in zip("nwe", cols, strict=True)})
-    terms = first_by_rank(words.sparkSession, _extra(may_context)).select(F.col("term").alias("_term"), "category", F.substring_index("term", " ", 1).alias("_first"))
-    w = w.join(F.broadcast(terms), F.substring_index("norm", " ", 1) == F.col("_first"))
-    grams = []
-    for n in range(1, longest + 1):
+    terms = first_by_rank(words.sparkSession, _extra(may_context))
+    opens = F.lit(False)
+    if phrases:
+        ahead = [(F.lead("norm", k).over(order), F.lead("word", k).over(order), F.lead("end_time", k).over(order)) for k in range(1, longest)]
+        w = w.withColumns({f"_{n}{k}": c for k, cols in enumerate(ahead, 1) for n, c in zip("nwe", cols, strict=True)})
+        if may_context:
+            w = _with_months(w, order)
+        opens = F.col("norm").isin(*sorted({r["term"].split()[0] for r in terms.collect()}))  # 260 terms
+    near = can_be_near(F.col("norm")) if misspelt else F.lit(False)
+    forms = [F.when(near, F.struct(F.lit(0).alias("n"), F.col("norm").alias("phrase"), F.col("word").alias("text"), F.col("end_time")))]
+    for n in range(1, longest + 1 if phrases else 1):
         phrase, text = (F.concat_ws(" ", F.col(c), *(F.col(f"_{p}{k}") for k in range(1, n))) for c, p in (("norm", "n"), ("word", "w")))
-        last = F.col(f"_e{n - 1}") if n > 1 else F.col("end_time")
         whole = F.col(f"_n{n - 1}").isNotNull() if n > 1 else F.lit(True)
-        grams.append(F.when(whole & (phrase == F.col("_term")), F.struct(F.lit(n).alias("n"), text.alias("text"), last.alias("end_time"))))
-    cands = w.withColumn("g", F.coalesce(*grams)).filter("g IS NOT NULL")  # phrases of different lengths may not both be the term
-    cands = cands.select("id", "idx", "start_time", "category", "g.*", *(["_at", "_term"] if may_context else []))
-    if may_context:
-        texts = words.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "word"))), lambda x: x["word"]), " ").alias("_text"))
-        cands = cands.join(texts, "id").filter((F.col("_term") != "may") | may_is_month(F.col("_text"), F.col("_at"), F.col("_at") + F.length("text")))
-    return cands.withColumns({"confidence": F.lit(1.0), "is_fuzzy": F.lit(False)}).select(CANDIDATE)
-
-
-def _misspelt(words: DataFrame) -> DataFrame:
-    """CANDIDATE of every single word that is near a term; both the normal form and the term are found once a distinct
-    word. Which words hit is known only at run time: adaptive execution broadcasts them while they are few."""
-    words = words.filter(F.length(F.lower("word")) >= MIN_LENGTH)  # a normal form is never longer than that
-    forms = words.select("word").distinct().withColumn("norm", normalize_word(F.col("word")))
-    hits = forms.join(fuzzy_terms(forms), "norm").select("word", "category", "confidence")
-    out = words.join(hits, "word")
-    return out.select("id", "idx", F.lit(1).alias("n"), F.col("word").alias("text"), "category", "start_time", "end_time", "confidence", F.lit(True).alias("is_fuzzy"))
+        forms.append(F.when(opens & whole, F.struct(F.lit(n).alias("n"), phrase.alias("phrase"), text.alias("text"), (F.col(f"_e{n - 1}") if n > 1 else F.col("end_time")).alias("end_time"))))
+    kept = ["id", "idx", "start_time", *(["_month"] if may_context and phrases else [])]
+    w = w.filter(opens | near).select(*kept, F.explode(F.array(*forms)).alias("g")).filter("g IS NOT NULL").select(*kept, "g.*")
+    terms = F.broadcast(terms.select(F.col("term").alias("_term"), F.col("n_words").alias("_n"), "category"))
+    w = w.join(terms, (F.col("phrase") == F.col("_term")) & (F.col("n") == F.col("_n")), "left").filter("n = 0 OR _term IS NOT NULL")
+    if may_context and phrases:
+        w = w.filter((F.col("n") == 0) | (F.col("phrase") != "may") | F.col("_month"))
+    fuzzy = F.col("n") == 0
+    if misspelt:
+        w = w.withColumn("_near", near_term(F.when(fuzzy, F.col("phrase")))).filter(~fuzzy | F.col("_near").isNotNull())
+        w = w.withColumns({"category": F.coalesce("_near.category", "category"), "confidence": F.coalesce("_near.confidence", F.lit(1.0))})
+    else:
+        w = w.withColumn("confidence", F.lit(1.0))
+    return w.select("id", F.col("idx").alias("word_idx"), F.greatest("n", F.lit(1)).alias("n_words"), "text", "category", "start_time", "end_time", "confidence", fuzzy.alias("is_fuzzy"))
+
+
+def _leftmost(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The candidates that are chosen, of rows in order of id (nth = 1 opens one), word_idx, exact before fuzzy, longest
+    first: exact ones that begin where the one chosen before has ended, and fuzzy ones outside of those."""
+    free = 0
+    for b in batches:
+        keep = []
+        for k, (nth, at, n, fuzzy) in enumerate(zip(*(b[c].to_pylist() for c in ("nth", "word_idx", "n_words", "is_fuzzy")), strict=True)):
+            if nth == 1:
+                free = at
+            if at >= free:
+                keep.append(k)
+                if not fuzzy:
+                    free = at + n
+        yield b.take(pa.array(keep, pa.int64())).drop_columns(["nth"])
 
 
 def _picked(candidates: DataFrame) -> DataFrame:
-    """MATCH of the candidates, folded a conversation at a time: leftmost, then longest exact ones; then fuzzy ones
-    outside those."""
-    per = candidates.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("is_fuzzy", "idx", (-F.col("n")).alias("neg"), *CANDIDATE[2:-1]))).alias("c"))
-    fold = """aggregate(c, named_struct('next', -1, 'picks', slice(c, 1, 0)),
-        (a, x) -> IF(NOT x.is_fuzzy AND x.idx >= a.next, named_struct('next', x.idx + x.n, 'picks', concat(a.picks, array(x))), a), a -> a.picks)"""
-    both = "concat(p, filter(c, x -> x.is_fuzzy AND NOT exists(p, y -> x.idx >= y.idx AND x.idx < y.idx + y.n)))"
-    picks = per.select("id", "c", F.expr(fold).alias("p")).select("id", F.explode(F.expr(both)).alias("p"))
-    return picks.select("id", F.col("p.idx").alias("word_idx"), F.col("p.n").alias("n_words"), *(f"p.{c}" for c in MATCH[3:]))
+    """MATCH of the chosen candidates. The window asks for the order that the function relies on: it sorts within
+    conversations, and shuffles only what is not dealt by conversation yet."""
+    order = W.partitionBy("id").orderBy("word_idx", "is_fuzzy", F.desc("n_words"))
+    numbered = candidates.withColumn("nth", F.row_number().over(order))
+    return numbered.mapInArrow(_leftmost, StructType([f for f in numbered.schema if f.name != "nth"])).select(MATCH)
 
 
 def exact(words: DataFrame, may_context: bool = False, longest: int = 3) -> DataFrame:
-    """Leftmost, then longest phrases of up to `longest` words; a conversation's candidates are folded in order."""
-    return _picked(_phrases(words, may_context, longest))
+    """Leftmost, then longest phrases of up to `longest` words."""
+    return _picked(_candidates(words, may_context, longest, misspelt=False))
 
 
 def covered(matches: DataFrame) -> DataFrame:
@@ -90,46 +120,24 @@ def covered(matches: DataFrame) -> DataFrame:
 
 
 def fuzzy_terms(tokens: DataFrame) -> DataFrame:
-    """norm, term, category, d: the nearest single-word term of each distinct token (norm) that has one; ties go by
-    rank. The comparison is with a fixed list of 175 terms."""
-    lex = lexicon(tokens.sparkSession).filter((F.col("n_words") == 1) & (F.col("n_chars") >= MIN_LENGTH)).select("term", "category", "n_chars", "rank")
-    size = F.length("norm")
-    tokens = tokens.select("norm").filter((size >= MIN_LENGTH) & ~F.col("norm").isin(NEVER_FUZZY)).distinct()
-    near = tokens.join(F.broadcast(lex), F.abs(size - F.col("n_chars")) <= MAX_DISTANCE).withColumn("d", F.levenshtein("norm", "term", MAX_DISTANCE))
-    longest = F.greatest(size, F.col("n_chars"))
-    near = near.filter((F.col("d") > 0) & ((F.col("d") < 2) | (size >= LENGTH_FOR_TWO)) & (F.col("d") / longest <= MOST_RELATIVE))
-    best = near.groupBy("norm").agg(F.min_by(F.struct("term", "category", "d"), F.struct("d", "rank")).alias("b")).select("norm", "b.*")
-    return best.withColumn("confidence", 1 - F.col("d") / F.greatest(F.length("norm"), F.length("term"))).filter(F.col("confidence") >= MIN_CONFIDENCE)
+    """norm, term, category, d, confidence: the nearest single-word term of each distinct token (norm) that has one; ties go
+    by rank."""
+    own = tokens.select("norm").filter(can_be_near(F.col("norm"))).distinct().withColumn("b", near_term(F.col("norm")))
+    return own.filter("b IS NOT NULL").select("norm", "b.*")
 
 
 def fuzzy(words: DataFrame, found: DataFrame) -> DataFrame:
-    """Single words outside the exact matches `found` that are near a term; computed once a distinct word."""
-    rest = _misspelt(words).join(covered(found).select("id", "idx"), ["id", "idx"], "left_anti")
-    return rest.select("id", F.col("idx").alias("word_idx"), F.col("n").alias("n_words"), *MATCH[3:])
+    """Single words outside the exact matches `found` that are near a term."""
+    near = _candidates(words, False, 1, phrases=False)
+    return near.join(covered(found).select("id", F.col("idx").alias("word_idx")), ["id", "word_idx"], "left_anti").select(MATCH)
 
 
 def detect(words: DataFrame, may_context: bool = False) -> DataFrame:
-    """Exact and fuzzy matches, chosen in one fold. Order by (id, start_time, is_fuzzy, word_idx) to list them."""
-    return _picked(_phrases(words, may_context, 3).unionByName(_misspelt(words)))
+    """Exact and fuzzy matches. Order by (id, start_time, is_fuzzy, word_idx) to list them."""
+    return _picked(_candidates(words, may_context, 3))
 
 
 def detect_in_text(texts: DataFrame, may_context: bool = False) -> DataFrame:
     """(id, text, category, start, end) of whole-word terms in (id, text): longest terms first over the whole text,
     no overlaps, no plurals, nothing fuzzy. Offsets are code points, end exclusive."""
-    pieces = texts.select("id", F.col("text").alias("_t"), F.posexplode(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)(\w+|\W+)"), F.lit(1))).alias("pos", "piece"))
-    order = W.partitionBy("id").orderBy("pos")
-    at = pieces.withColumn("start", F.sum(F.length("piece")).over(order.rowsBetween(W.unboundedPreceding, 0)) - F.length("piece"))
-    nxt = [F.lead("piece", k).over(order) for k in range(1, 5)]
-    at = at.withColumns({f"_{k}": c for k, c in enumerate(nxt, 1)})
-    two = (F.col("_1") == " ") & F.col("_2").isNotNull()
-    three = two & (F.col("_3") == " ") & F.col("_4").isNotNull()
-    phrases = F.array(F.col("piece"), F.when(two, F.concat_ws(" ", "piece", "_2")), F.when(three, F.concat_ws(" ", "piece", "_2", "_4")))
-    cands = at.select("id", "_t", "start", F.explode(phrases).alias("term"))
-    cands = cands.join(F.broadcast(first_by_rank(texts.sparkSession, _extra(may_context)).select("term", "category", "rank")), "term")
-    cands = cands.withColumn("end", F.col("start") + F.length("term"))
-    if may_context:
-        cands = cands.filter((F.col("term") != "may") | may_is_month(F.col("_t"), F.col("start"), F.col("end")))
-    cands = cands.withColumn("text", F.expr("substring(_t, int(start) + 1, int(end - start))"))
-    per = cands.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("rank", "start", "end", "category", "text"))).alias("c"))
-    fold = "aggregate(c, slice(c, 1, 0), (a, x) -> IF(exists(a, y -> x.start < y.end AND y.start < x.end), a, concat(a, array(x))))"
-    return per.select("id", F.explode(F.expr(fold)).alias("p")).select("id", "p.text", "p.category", F.col("p.start").cast("int").alias("start"), F.col("p.end").cast("int").alias("end"))
+    return texts.select("id", F.explode(terms_in(F.col("text"), may_context)).alias("p")).select("id", "p.*")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..functions.text import bar, round1
+from ..functions.exact import exact_sum, round1
+from ..functions.text import bar
 from .verify import STATUSES
 
 
@@ -17,8 +18,9 @@ def manifest(results: DataFrame, run_date: str, speakers: int = 2, rate: int = 1
 
 def summary(results: DataFrame) -> DataFrame:
     ok = F.col("success")
-    seconds = F.coalesce(F.sum(F.when(ok, F.coalesce("duration", F.lit(0.0)))), F.lit(0.0))
-    return results.agg(F.count("*").alias("total_conversations"), F.count_if(ok).alias("successful"), F.count_if(~ok).alias("failed"), round1(seconds).alias("total_duration_sec"), round1(seconds / 60).alias("total_duration_min"), F.coalesce(F.sum(F.when(ok, F.col("pii_count"))), F.lit(0)).alias("total_pii_redacted"))
+    seconds = F.coalesce(exact_sum(F.when(ok, F.coalesce("duration", F.lit(0.0)))), F.lit(0.0))
+    sums = results.agg(F.count("*").alias("total_conversations"), F.count_if(ok).alias("successful"), F.count_if(~ok).alias("failed"), seconds.alias("_s"), F.coalesce(F.sum(F.when(ok, F.col("pii_count"))), F.lit(0)).alias("total_pii_redacted"))
+    return sums.select("total_conversations", "successful", "failed", round1(F.col("_s")).alias("total_duration_sec"), round1(F.col("_s") / 60).alias("total_duration_min"), "total_pii_redacted")
 
 
 def failures(results: DataFrame) -> DataFrame:
@@ -36,13 +38,19 @@ def qa_report(results: DataFrame, timestamp: str) -> DataFrame:
 
 
 def times(results: DataFrame) -> DataFrame:
-    return results.agg(F.sum("processing_time_s").alias("total"), F.avg("processing_time_s").alias("average"), F.max("processing_time_s").alias("longest"))
+    total = exact_sum(F.col("processing_time_s"))
+    return results.agg(total.alias("total"), (total / F.count("processing_time_s")).alias("average"), F.max("processing_time_s").alias("longest"))
 
 
 def category_counts(matches: DataFrame) -> DataFrame:
     return matches.groupBy("category").agg(F.count("*").alias("n"))
 
 
+def conversation_counts(matches: DataFrame) -> DataFrame:
+    """(id, n_exact, n_fuzzy) of each conversation with matches."""
+    return matches.groupBy("id").agg(F.count_if(~F.col("is_fuzzy")).alias("n_exact"), F.count_if("is_fuzzy").alias("n_fuzzy"))
+
+
 def bars(counts: DataFrame, label: str, value: str, width: int = 50) -> DataFrame:
     """(label, value, bar), longest bar `width` blocks; order by value descending, then label."""
     most = counts.agg(F.max(value).alias("_most"))

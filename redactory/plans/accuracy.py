@@ -9,20 +9,23 @@ from pyspark.sql import functions as F
 
 from ..operators import render, wer
 from ..sources import files as io
+from ..sources import trees
 
+#: Where transcripts are looked for if no folder is named: those of the chain's export, and human ones.
+ASR_DIR, HUMAN_DIR = "output/transcripts_raw/train", "data/transcripts_human"
 COLUMNS = ["conversation_id", "wer", "substitutions", "insertions", "deletions", "reference_words", "hypothesis_words"]
 
 
-def rates(asr: DataFrame, human: DataFrame) -> DataFrame:
-    """COLUMNS and aligned_pairs of each ASR transcript (id, segments, redacted_text, text) that has a human one (id, path,
+def rates(asr: DataFrame, human: DataFrame, aligned: bool = True) -> DataFrame:
+    """COLUMNS and, with aligned, aligned_pairs of each ASR transcript (id, segments, redacted_text, text) that has a human one (id, path,
     text) of the same id."""
-    return wer.wer(io.pair_by_stem(asr, human)).select(F.col("id").alias("conversation_id"), *COLUMNS[1:], "aligned_pairs")
+    return wer.wer(io.pair_by_stem(asr, human), aligned=aligned).select(F.col("id").alias("conversation_id"), *COLUMNS[1:], *(["aligned_pairs"] if aligned else []))
 
 
 def file_pair(spark: SparkSession, asr_path: str, human_path: str) -> DataFrame:
     """One row for two files, whatever their names."""
     human = io.human_transcripts(spark, human_path).select("path", "text")
-    asr = io.transcripts(spark, asr_path).withColumn("id", io.stem(F.col("_metadata.file_path")))
+    asr = io.transcripts(spark, asr_path).withColumn("id", io.stem(F.col("key")))
     return rates(asr, human.crossJoin(F.broadcast(asr.select("id"))))  # a row each
 
 
@@ -34,30 +37,36 @@ def totals(rows: DataFrame) -> DataFrame:
 
 def main(argv: list[str] | None = None) -> int:
     """Prints one pair's rates, or a batch's; 1 if there is nothing to compare. With --output the rows of all pairs are
-    written as JSON below <output>/individual and the batch's row below <output>/totals."""
+    written as JSON below <output>/individual, the batch's row below <output>/totals, and both as one object in
+    <output>/results.json."""
     p = argparse.ArgumentParser(description="Word error rates between ASR and human transcripts")
     p.add_argument("--asr", help="one ASR transcript (JSON)")
     p.add_argument("--human", help="its human transcript (text)")
-    p.add_argument("--asr-dir", help="a folder of ASR transcripts")
-    p.add_argument("--human-dir", help="a folder of human transcripts")
+    p.add_argument("--asr-dir", default=ASR_DIR, help="a folder of ASR transcripts")
+    p.add_argument("--human-dir", default=HUMAN_DIR, help="a folder of human transcripts")
     p.add_argument("--output", help="folder for the results")
     p.add_argument("--errors", type=int, default=20, help="errors shown of one pair")
     a = p.parse_args(argv)
     single = a.asr and a.human
-    if not single and not (a.asr_dir and a.human_dir):
-        p.error("--asr and --human, or --asr-dir and --human-dir")
+    if not single and (a.asr or a.human):
+        p.error("--asr and --human go together")
     spark = SparkSession.builder.appName("redactory").getOrCreate()
     if single:
         for r in file_pair(spark, a.asr, a.human).withColumn("shown", wer.errors(F.col("aligned_pairs"), a.errors)).drop("aligned_pairs").collect():
             print(f"WER ANALYSIS: {r['conversation_id']}\n{render.word_errors(r.asDict(), r['shown'])}")
         return 0
-    rows = rates(io.transcripts(spark, a.asr_dir), io.human_transcripts(spark, a.human_dir)).drop("aligned_pairs")
+    try:
+        rows = rates(io.transcripts(spark, a.asr_dir), io.human_transcripts(spark, a.human_dir), aligned=False)
+    except FileNotFoundError as e:
+        print(e)
+        return 1
     if a.output:
         rows.write.mode("overwrite").json(f"{a.output}/individual", ignoreNullFields=False)
         rows = spark.read.schema(rows.schema).json(f"{a.output}/individual")
     all_ = totals(rows)
     if a.output:
         io.write_report(all_, f"{a.output}/totals")
+        trees.write_with_totals(all_.first().asDict(), "individual_results", rows, f"{a.output}/results.json", ["conversation_id", "wer"])
     t = all_.first()
     if not t["files_analyzed"]:
         print("No matching files found")

@@ -8,11 +8,14 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import audio, detect, redact, regions, report, verify
+from ..operators.ordinal import numbered
 from ..sources import files as io
+from ..sources import trees
+from ..sources.files import keyed
 
 SAMPLES = "samples/audio"
 log = logging.getLogger("redactory")
@@ -32,10 +35,15 @@ class Config:
     min_ms: float = regions.MIN_MS
     frequency: float = 1000
     amplitude: float = 0.5
+    device: str = "auto"
+    model_name: str | None = None
+    profile: object = None
 
 
 @dataclass
 class Result:
+    """words, matches and regions have the rows' keys as id; the others have the label as id and the key beside it."""
+
     words: DataFrame
     matches: DataFrame
     redacted: DataFrame
@@ -44,14 +52,37 @@ class Result:
     results: DataFrame
 
 
+def by_key(rows: DataFrame) -> DataFrame:
+    """rows whose id is their key, which is unique; the label they had as id is left out."""
+    return rows.withColumn("id", F.col("key")).drop("key")
+
+
+def unfit(segments: Column) -> Column:
+    """(stage, error) of a transcript that a stage cannot work on, else null: words without a text cannot be searched,
+    and masking needs their times."""
+    word = lambda test: F.exists(segments, lambda s: F.coalesce(F.exists(s["words"], test), F.lit(False)))
+    bad = [("detection", segments.isNull(), "no segments"), ("detection", word(lambda w: w.isNull() | w["word"].isNull()), "a word has no text"),
+           ("audio_redaction", word(lambda w: w["start"].isNull() | w["end"].isNull()), "a word has no times")]
+    out = F.lit(None).cast("struct<stage:string,error:string>")
+    for stage, test, error in reversed(bad):
+        out = F.when(test, F.struct(F.lit(stage).alias("stage"), F.lit(error).alias("error"))).otherwise(out)
+    return out
+
+
 def redact_transcripts(transcripts: DataFrame, config: Config | None = None, again: DataFrame | None = None, masked: DataFrame | None = None, found: DataFrame | None = None) -> Result:
-    """The chain over transcripts (id, segments, audio_duration, error, and seconds if known): every conversation ends as
-    one row of results. One with an error is a failure of the stage "transcription"; one whose masking failed (masked:
-    id, error, seconds) of the stage "audio_redaction". again is the second transcription (id, segments, error,
-    seconds): a conversation it has no words of, because it failed or never came to it, is to be reviewed. found are the
-    matches, where they are known."""
+    """The chain over transcripts (id, segments, audio_duration, error; key where they come from files; seconds if known).
+
+    Rows are told apart by key (see sources.files.keyed); id is a label that may repeat or be null. Every row ends as one
+    row of results: one with an error is a failure of the stage "transcription", one that a stage cannot work on (unfit()) of
+    that stage, one whose masking failed (masked: key, error, seconds) of "audio_redaction". again is the second
+    transcription (key, segments, error, seconds): a row it has no words of, because it failed or never came to it, is
+    to be reviewed. found are the matches, where they are known, with keys as id."""
     config = config or Config()
-    ok = transcripts.filter("error IS NULL")
+    rows = keyed(transcripts).withColumn("_unfit", F.when(F.col("error").isNull(), unfit(F.col("segments"))))
+    labels = rows.select(F.col("key").alias("id"), F.col("id").alias("_label"))
+    labelled = lambda df: df.join(labels, "id").withColumnsRenamed({"id": "key", "_label": "id"})
+    rows = by_key(rows)
+    ok = rows.filter("error IS NULL AND _unfit IS NULL").drop("_unfit")
     words = detect.words_of(ok)
     matches = detect.detect(words, config.may_context) if found is None else found
     segments = ok.select("id", F.posexplode_outer("segments").alias("seg", "_s")).filter("seg IS NOT NULL").select("id", "seg")
@@ -60,21 +91,26 @@ def redact_transcripts(transcripts: DataFrame, config: Config | None = None, aga
     spans = regions.bleep_regions(matches, ok.select("id", F.col("audio_duration").alias("duration")), before=config.pad_before, after=config.pad_after, min_ms=config.min_ms)
     heard = unheard = None
     if again is not None:
+        again = by_key(again)
         heard = detect.words_of(again.filter("error IS NULL"))
         unheard = ok.select("id").join(again.select("id", F.coalesce("error", F.when(F.col("segments").isNull(), F.lit("no transcript"))).alias("error"), F.lit(True).alias("_came")), "id", "left")
         unheard = unheard.select("id", F.when(F.col("_came").isNull(), F.lit("no transcript")).otherwise(F.col("error")).alias("error")).filter("error IS NOT NULL")
     checked = verify.verify(texts, heard, unheard)
-    spent = [t.select("id", F.col("seconds").alias(f"_s{k}")) for k, t in enumerate((transcripts, masked, again)) if t is not None and "seconds" in t.columns]
-    out = transcripts.select("id", "audio_duration", "error").join(texts.select("id", "pii_count"), "id", "left").join(checked.select("id", "overall_status"), "id", "left")
-    bad = masked.filter("error IS NOT NULL").select("id", F.col("error").alias("_masking")) if masked is not None else transcripts.select("id", F.lit(None).cast("string").alias("_masking")).limit(0)
-    out = out.join(bad, "id", "left")
+    if masked is not None:
+        masked = by_key(masked)
+    spent = [t.select("id", F.col("seconds").alias(f"_s{k}")) for k, t in enumerate((rows, masked, again)) if t is not None and "seconds" in t.columns]
+    out = rows.select("id", "audio_duration", "error", "_unfit").join(texts.select("id", "pii_count"), "id", "left").join(checked.select("id", "overall_status"), "id", "left")
+    if masked is not None:
+        out = out.join(masked.filter("error IS NOT NULL").select("id", F.col("error").alias("_masking")), "id", "left")
+    else:
+        out = out.withColumn("_masking", F.lit(None).cast("string"))
     for t in spent:
         out = out.join(t, "id", "left")
     seconds = sum((F.coalesce(c, F.lit(0.0)) for c in out.columns if c.startswith("_s")), F.lit(0.0))
-    stage = F.when(F.col("error").isNotNull(), "transcription").when(F.col("_masking").isNotNull(), "audio_redaction")
-    error = F.coalesce("error", "_masking")
-    out = out.select(F.col("id").alias("conversation_id"), error.isNull().alias("success"), stage.alias("stage"), error.alias("error"), F.coalesce("pii_count", F.lit(0)).alias("pii_count"), F.when(error.isNull(), F.col("overall_status")).alias("status"), F.col("audio_duration").alias("duration"), seconds.alias("processing_time_s"))
-    return Result(words, matches, texts, spans, checked, out)
+    stage = F.when(F.col("error").isNotNull(), "transcription").otherwise(F.coalesce("_unfit.stage", F.when(F.col("_masking").isNotNull(), "audio_redaction")))
+    error = F.coalesce("error", "_unfit.error", "_masking")
+    out = out.select("id", error.isNull().alias("success"), stage.alias("stage"), error.alias("error"), F.coalesce("pii_count", F.lit(0)).alias("pii_count"), F.when(error.isNull(), F.col("overall_status")).alias("status"), F.col("audio_duration").alias("duration"), seconds.alias("processing_time_s"))
+    return Result(words, matches, labelled(texts), spans, labelled(checked), labelled(out).withColumnRenamed("id", "conversation_id"))
 
 
 def run(spark: SparkSession, audio_path: str, model: Callable, config: Config | None = None) -> Result:
@@ -89,27 +125,58 @@ def run(spark: SparkSession, audio_path: str, model: Callable, config: Config |
         return spark.read.schema(df.schema).parquet(f"{config.output}/{name}")
 
     files = io.require_files(io.audio_files(spark, audio_path))
-    heard = once(io.transcribe(files, model), "transcripts_raw")
-    found = once(detect.detect(detect.words_of(heard.filter("error IS NULL")), config.may_context), "qa/matches")
+    heard = once(io.transcribe(files, model, config.device, config.model_name, config.profile), "transcripts_raw")
+    fit = heard.filter("error IS NULL").filter(unfit(F.col("segments")).isNull())
+    found = once(detect.detect(detect.words_of(by_key(fit)), config.may_context), "qa/matches")
     first = redact_transcripts(heard, config, found=found)
-    transcribed = files.select("id", "content").join(heard.filter("error IS NULL").select("id"), "id", "left_semi")
-    silenced = once(audio.mask_files(transcribed, first.regions, config.audio_format, config.frequency, config.amplitude), "audio")
+    transcribed = files.select("key", "content").join(fit.select("key"), "key", "left_semi").withColumnRenamed("key", "id")
+    silenced = audio.mask_files(transcribed, first.regions, config.audio_format, config.frequency, config.amplitude)
+    silenced = once(silenced.withColumnRenamed("id", "key").join(heard.select("key", "id"), "key"), "audio")
     again = None
     if config.verify_audio:
-        again = once(io.transcribe(silenced.filter("error IS NULL").withColumn("path", F.col("id")), model), "qa/transcripts_again")
-    got = redact_transcripts(heard, config, again, silenced.select("id", "error", "seconds"), found)
+        again = once(io.transcribe(silenced.filter("error IS NULL").withColumn("path", F.col("id")), model, config.device, config.model_name, config.profile), "qa/transcripts_again")
+    got = redact_transcripts(heard, config, again, silenced.select("key", "error", "seconds"), found)
     if config.output:
         write(got, heard, config)
-        verify.findings(got.redacted, detect.words_of(again.filter("error IS NULL")) if again is not None else None).write.mode("overwrite").json(f"{config.output}/qa/findings")
+        found = verify.findings(by_key(got.redacted), detect.words_of(by_key(again.filter("error IS NULL"))) if again is not None else None)
+        found.withColumnRenamed("id", "key").join(heard.select("key", "id"), "key").write.mode("overwrite").json(f"{config.output}/qa/findings")
     return got
 
 
 def write(got: Result, transcripts: DataFrame, config: Config) -> None:
-    """De-identified transcripts, manifest and report below config.output."""
-    deid = redact.deidentified(got.words, got.matches, transcripts.filter("error IS NULL"), config.include_original)
-    io.write_transcripts(deid, f"{config.output}/transcripts_deid")
-    report.manifest(got.results, config.run_date, rate=config.rate).write.mode("overwrite").json(f"{config.output}/metadata/manifest")
-    io.write_report(report.qa_report(got.results, config.run_date), f"{config.output}/qa/processing_report")
+    """De-identified transcripts, results, manifest, report, and the running numbers of the batch (ordinal, total, by
+    path) below config.output."""
+    deid = deidentified(got, transcripts, config)
+    io.write_transcripts(deid.drop("key"), f"{config.output}/transcripts_deid")
+    got.results.write.mode("overwrite").parquet(f"{config.output}/qa/results")
+    results = got.results.sparkSession.read.schema(got.results.schema).parquet(f"{config.output}/qa/results")
+    report.manifest(results, config.run_date, rate=config.rate).write.mode("overwrite").json(f"{config.output}/metadata/manifest")
+    trees.write_report(results, f"{config.output}/qa/processing_report/report.json", config.run_date)
+    batch = numbered(results.select("conversation_id", "key"), ["key"])
+    batch.write.mode("overwrite").parquet(f"{config.output}/qa/batch")
+
+
+def deidentified(got: Result, transcripts: DataFrame, config: Config) -> DataFrame:
+    """redact.deidentified() of the successful rows, with key."""
+    rows = keyed(transcripts)
+    fit = by_key(rows).join(got.results.filter("success").select(F.col("key").alias("id")), "id", "left_semi")
+    deid = redact.deidentified(got.words, got.matches, fit, config.include_original).withColumnRenamed("conversation_id", "key")
+    return rows.select("key", F.col("id").alias("conversation_id")).join(deid, "key")
+
+
+def export(got: Result, transcripts: DataFrame, audio_files: DataFrame | None, path: str, config: Config) -> None:
+    """The files that other tools read: a JSON file a conversation below transcripts_raw/train and transcripts_deid/train,
+    masked audio (key, id, content) below audio/train, metadata/manifest.json and qa/processing_report.json. Conversations
+    of one label are kept apart by a tag of their keys."""
+    rows = keyed(transcripts)
+    raw = rows.filter("error IS NULL").select("key", F.col("id").alias("conversation_id"), *(c for c in ("audio_path", "audio_duration", "language", "language_probability", "segments") if c in rows.columns))
+    trees.write_objects(raw, f"{path}/transcripts_raw/train")
+    trees.write_objects(deidentified(got, transcripts, config), f"{path}/transcripts_deid/train")
+    if audio_files is not None:
+        named = trees.file_names(audio_files.filter("content IS NOT NULL").withColumnRenamed("id", "conversation_id"), f".{config.audio_format}")
+        trees.write_files(named.select("name", F.col("content").alias("body")), f"{path}/audio/train")
+    trees.write_array(report.manifest(got.results, config.run_date, rate=config.rate), f"{path}/metadata/manifest.json", ["conversation_id", "duration_sec", "pii_count"])
+    trees.write_report(got.results, f"{path}/qa/processing_report.json", config.run_date)
 
 
 def load(name: str) -> Callable:
@@ -132,6 +199,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--date", default="1970-01-01")
     p.add_argument("--may-context", action="store_true")
     p.add_argument("--hide-original", action="store_true")
+    p.add_argument("--device", default="auto", help="auto, cuda or cpu")
+    p.add_argument("--tree", help="also write one file a conversation, the manifest and the report below this folder")
     p.add_argument("--verbose", action="store_true")
     a = p.parse_args(argv)
     logging.basicConfig(level=logging.DEBUG if a.verbose else logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
@@ -140,16 +209,20 @@ def main(argv: list[str] | None = None) -> int:
     log.info("output %s, second transcription %s", a.output, not a.no_verify and a.model is not None)
     spark = SparkSession.builder.appName("redactory").getOrCreate()
     config = Config(a.output, not a.no_verify, a.may_context, not a.hide_original, a.date, audio_format=a.format)
-    if a.model:
-        try:
+    config.device, config.model_name = a.device, a.model
+    try:
+        if a.model:
             got = run(spark, a.input or a.file, load(a.model), config)
-        except FileNotFoundError as e:
-            print(e)
-            return 1
-    else:
-        df = io.transcripts(spark, a.input or a.file).withColumn("error", F.lit(None).cast("string"))
-        got = redact_transcripts(df, config)
-        write(got, df, config)
+            df, sounds = spark.read.parquet(f"{a.output}/transcripts_raw"), spark.read.parquet(f"{a.output}/audio")
+        else:
+            df, sounds = io.transcripts(spark, a.input or a.file), None
+            got = redact_transcripts(df, config)
+            write(got, df, config)
+    except FileNotFoundError as e:
+        print(e)
+        return 1
+    if a.tree:
+        export(got, df, sounds, a.tree, config)
     totals = report.summary(got.results).first()
     log.info("statuses %s", {r["status"]: r["n"] for r in verify.status_counts(got.results.filter("success"), "status").collect()})
     print(f"{totals['successful']} of {totals['total_conversations']} conversations, {totals['total_pii_redacted']} terms redacted")

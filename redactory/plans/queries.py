@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import text as T
+from ..functions.exact import exact_sum, round1
 from ..functions.lexicon import LABELS, NEVER_FUZZY, SINGULARS, by_category, lexicon, rows
 from ..operators import detect, redact, regions, report, verify, wer
-from ..sources.files import to_fetch
+from ..operators.ordinal import numbered
+from ..sources.files import pair_by_stem, to_fetch
+from . import pipeline
 
 PLACES = "|".join(sorted({t for t, c, *_ in rows() if c in ("city", "state")}))
 N_PLACES = PLACES.count("|") + 1
@@ -123,12 +126,23 @@ def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select(F.col("id").cast("string").alias("conversation_id"), "success", "duration", F.coalesce("n", F.lit(0)).alias("pii_count"), F.lit(None).cast("string").alias("status"), F.when(~F.col("success"), "transcription").alias("stage"), F.when(~F.col("success"), "unreadable").alias("error"), (F.col("duration") / 4).alias("processing_time_s"))
 
 
+def _spoken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """norm, n: how often each normal form is said."""
+    return words(spark, sf_dir).groupBy("word").agg(F.count("*").alias("n")).withColumn("norm", T.normalize_word(F.col("word"))).groupBy("norm").agg(F.sum("n").alias("n"))
+
+
 def lexicon_stats(spark, sf_dir):
-    return lexicon(spark).groupBy("category").agg(F.count("*").alias("n_terms"), F.max("n_chars").alias("longest"), F.min("rank").alias("first_rank"))
+    """Each category's terms, and how many words of all conversations are one."""
+    said = _spoken(spark, sf_dir).withColumnRenamed("norm", "term")
+    terms = lexicon(spark).join(said, "term", "left")
+    return terms.groupBy("category").agg(F.count("*").alias("n_terms"), F.max("n_chars").alias("longest"), F.min("rank").alias("first_rank"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_said"))
 
 
 def lexicon_terms(spark, sf_dir):
-    return by_category(spark).select("category", F.array_join("terms", ",").alias("terms"))
+    """Each category's set of terms, and the part of it that is said as single words."""
+    said = F.broadcast(_spoken(spark, sf_dir).join(F.broadcast(lexicon(spark).select(F.col("term").alias("norm")).distinct()), "norm", "left_semi").agg(F.collect_set("norm").alias("said")))  # 259 terms at most
+    sets = by_category(spark).crossJoin(said)  # one row
+    return sets.select("category", F.array_join("terms", ",").alias("terms"), F.array_join(F.filter("terms", lambda t: F.array_contains("said", t)), ",").alias("said"))
 
 
 def normalize_tokens(spark, sf_dir):
@@ -234,7 +248,7 @@ def wer_pairs(spark, sf_dir):
     talk = W.partitionBy("id")
     c = carrier(spark, sf_dir).withColumns({"next": F.lead("text").over(talk.orderBy("seg")), "n": F.count("*").over(talk)}).filter((F.col("seg") < F.col("n") - 1) | (F.col("n") == 1))
     c = c.select("id", "seg", F.coalesce("text", F.lit("")).alias("reference"), F.coalesce("next", F.lit("")).alias("hypothesis"))
-    return wer.wer(c).select("id", "seg", "substitutions", "insertions", "deletions", "reference_words", "hypothesis_words", F.round("wer", 6).alias("wer"))
+    return wer.wer(c, aligned=False).select("id", "seg", "substitutions", "insertions", "deletions", "reference_words", "hypothesis_words", F.round("wer", 6).alias("wer"))
 
 
 def wer_batch(spark, sf_dir):
@@ -251,6 +265,62 @@ def clean_human(spark, sf_dir):
     return carrier(spark, sf_dir).select("id", "seg", T.clean_human(t).alias("clean"))
 
 
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The carrier as transcripts (key, id, segments, audio_duration, error): id is a label that many conversations share and
+    some lack; conversations of one segment come without the times of their words."""
+    w = words(spark, sf_dir)
+    alone = F.max("seg").over(W.partitionBy("id")) == 0
+    w = w.withColumns({c: F.when(~alone, F.col(c)) for c in ("start_time", "end_time")})
+    word = F.struct("idx", "word", F.col("start_time").alias("start"), F.col("end_time").alias("end"), F.lit(1.0).alias("confidence"))
+    segs = w.groupBy("id", "seg").agg(F.array_sort(F.collect_list(word)).alias("ws"))
+    told = F.struct("seg", F.array_join(F.transform("ws", lambda x: x["word"]), " ").alias("text"), F.col("ws")[0]["start"].alias("start"), F.element_at("ws", -1)["end"].alias("end"), F.transform("ws", lambda x: x.dropFields("idx")).alias("words"))
+    per = segs.groupBy("id").agg(F.array_sort(F.collect_list(told)).alias("s"))
+    label = F.when(F.col("id") % 13 > 0, F.concat(F.lit("talk_"), F.col("id") % 97))
+    return per.select(F.col("id").cast("string").alias("key"), label.alias("id"), F.transform("s", lambda x: x.dropFields("seg")).alias("segments"), F.element_at("s", -1)["end"].alias("audio_duration"), F.lit(None).cast("string").alias("error"))
+
+
+def chain_results(spark, sf_dir):
+    """The chain over all conversations: how each ended, and its redacted text."""
+    got = pipeline.redact_transcripts(conversations(spark, sf_dir))
+    return got.results.join(got.redacted.select("key", "redacted_text"), "key", "left").select("key", "conversation_id", "success", "stage", "error", "pii_count", "status", "duration", "redacted_text")
+
+
+def conversation_counts(spark, sf_dir):
+    """Exact and fuzzy matches of each conversation that has any."""
+    return report.conversation_counts(detect.detect(words(spark, sf_dir)))
+
+
+def batch_ordinals(spark, sf_dir):
+    """Running numbers of a batch: the orders' recordings, by path."""
+    o = table(spark, sf_dir, "orders").select(F.concat(F.lit("audio/"), F.col("o_custkey") % 7, F.lit("/talk_"), "o_orderkey", F.lit(".wav")).alias("path"))
+    return numbered(o, ["path"]).select("path", T.stem(F.col("path")).alias("conversation_id"), "ordinal", "total")
+
+
+def months_in_context(spark, sf_dir):
+    """Text mode with "may" as a month where the words around it say so."""
+    t = carrier(spark, sf_dir).select(F.struct("id", "seg").alias("id"), "text")
+    return detect.detect_in_text(t, may_context=True).filter("lower(text) = 'may'").select("id.id", "id.seg", "text", "category", F.col("start").alias("first_char"), F.col("end").alias("end_char"))
+
+
+def months_said(spark, sf_dir):
+    """Token mode with "may" as a month: the words that are taken for it."""
+    return detect.exact(words(spark, sf_dir), may_context=True).filter("category = 'month' AND lower(text) LIKE 'may%'").select("id", "word_idx", "text", "start_time", "end_time")
+
+
+def rounded_amounts(spark, sf_dir):
+    """Sums of doubles that do not depend on partitions, and their rounding, by ship mode of the line items' numbers."""
+    li = table(spark, sf_dir, "lineitem").groupBy("l_linenumber").agg(exact_sum(F.col("l_discount") * F.col("l_quantity")).alias("s"), F.count("*").alias("n"))
+    return li.select("l_linenumber", "n", round1(F.col("s")).alias("rounded"))
+
+
+def paired_transcripts(spark, sf_dir):
+    """ASR transcripts against the first human one of the same id: even conversations have two, whose paths tell which."""
+    c = conversations(spark, sf_dir).withColumn("id", F.col("key")).withColumns({"redacted_text": F.lit(None).cast("string"), "text": F.lit(None).cast("string")})
+    one = carrier(spark, sf_dir).filter("seg = 0").select(F.col("id").cast("string").alias("id"), F.lit("b").alias("path"), F.concat(F.lit("[0.5] <S> "), "text").alias("text"))
+    two = one.filter("cast(id AS long) % 2 = 0").select("id", F.lit("a").alias("path"), F.concat(F.lit("first "), "text").alias("text"))
+    return pair_by_stem(c, one.union(two))
+
+
 def anti_existing(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ordinal"), F.concat(F.lit("audio_"), F.col("c_custkey"), F.when(F.col("c_custkey") % 3 == 0, ".txt").otherwise(".wav")).alias("name"))
     return to_fetch(c, c.filter("ordinal % 2 = 0")).select("name")
@@ -262,7 +332,7 @@ def topk_redactions(spark, sf_dir):
     return per.select("id", F.array_join(F.transform(F.slice("r", 1, 10), lambda x: x["original"]), "|").alias("shown"), F.greatest(F.size("r") - 10, F.lit(0)).alias("more"))
 
 
-QUERIES = {f.__name__: f for f in (lexicon_stats, lexicon_terms, normalize_tokens, exact_matches, exact_category_counts, fuzzy_matches, fuzzy_tokens, detect_all, redacted_text, redaction_log, detect_in_text, verify_text_status, status_counts, bleep_regions, region_samples, manifest, qa_summary, failures, processing_times, category_bars, before_after, may_context, overall_status, wer_pairs, wer_batch, wer_words, clean_human, anti_existing, topk_redactions)}
+QUERIES = {f.__name__: f for f in (lexicon_stats, lexicon_terms, normalize_tokens, exact_matches, exact_category_counts, fuzzy_matches, fuzzy_tokens, detect_all, redacted_text, redaction_log, detect_in_text, verify_text_status, status_counts, bleep_regions, region_samples, manifest, qa_summary, failures, processing_times, category_bars, before_after, may_context, overall_status, wer_pairs, wer_batch, wer_words, clean_human, anti_existing, topk_redactions, chain_results, conversation_counts, batch_ordinals, months_in_context, months_said, rounded_amounts, paired_transcripts)}
 
 
 def _with(select: str, *more: str) -> str:
@@ -303,11 +373,14 @@ _ALIGNED = f"""
               ELSE cells[x[1] + 1] + (1::BIGINT << 45) + 1 END)) FROM dp WHERE i < len(r)),
         aligned AS (SELECT id, seg, CAST(cells[-1] >> 30 & 32767 AS INT) AS s, CAST(cells[-1] >> 15 & 32767 AS INT) AS n, CAST(cells[-1] & 32767 AS INT) AS d, len(r) AS n_ref, len(h) AS n_hyp FROM dp WHERE i = len(r)),
         rated AS (SELECT *, round(CASE WHEN n_ref = 0 AND n_hyp = 0 THEN 0 WHEN n_ref = 0 THEN 'inf'::DOUBLE ELSE (s + n + d)::DOUBLE / n_ref END, 6) AS rate FROM aligned)"""
+#: The characters around [s, e) of text, and whether they speak of the month.
+_around = "lower(substring(text, CAST(greatest({s} - 20, 0) AS BIGINT) + 1, CAST(least(length(text), {e} + 20) - greatest({s} - 20, 0) AS BIGINT)))".format
+_SAYS_MONTH = "(" + " OR ".join(f"regexp_matches(w, '{cue}')" for cue in T.MONTH_CUES) + ")"
 _STATUS = "CASE WHEN {n} = 0 THEN 'PASS' WHEN {n} <= 2 AND {s} = 0 THEN 'PASS_WITH_NOTE' WHEN {n} <= 2 THEN 'REVIEW_REQUIRED' ELSE 'FAIL' END"
 _LEV = "list_position(['PASS', 'PASS_WITH_NOTE', 'REVIEW_REQUIRED', 'FAIL'], {x})"
 ORACLE_SQL = {
-    "lexicon_stats": _with("SELECT category, count(*) AS n_terms, max(n_chars) AS longest, min(rnk) AS first_rank FROM lex GROUP BY category"),
-    "lexicon_terms": _with("SELECT category, string_agg(DISTINCT term, ',' ORDER BY term) AS terms FROM lex GROUP BY category"),
+    "lexicon_stats": _with("SELECT category, count(*) AS n_terms, max(n_chars) AS longest, min(rnk) AS first_rank, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_said FROM lex LEFT JOIN (SELECT norm, count(*) AS n FROM normed GROUP BY norm) ON term = norm GROUP BY category"),
+    "lexicon_terms": _with("SELECT category, string_agg(DISTINCT term, ',' ORDER BY term) AS terms, coalesce(string_agg(DISTINCT term, ',' ORDER BY term) FILTER (term IN (SELECT norm FROM normed)), '') AS said FROM lex GROUP BY category"),
     "normalize_tokens": _with("SELECT word, norm, count(*) AS n FROM normed GROUP BY word, norm"),
     "exact_matches": _with(f"SELECT {MATCH} FROM exact"),
     "exact_category_counts": _with("SELECT category, count(*) AS n FROM exact GROUP BY category"),
@@ -329,6 +402,22 @@ ORACLE_SQL = {
     "overall_status": f"""WITH o AS (SELECT o_orderkey, o_orderkey % 5 AS n, o_custkey % 3 AS m FROM orders), s AS (SELECT *, {_STATUS.format(n='n', s='least(n, m)')} AS t, CASE WHEN m > 0 THEN {_STATUS.format(n='m', s='0')} END AS a FROM o)
         SELECT o_orderkey, CASE WHEN {_LEV.format(x='a')} > {_LEV.format(x='t')} THEN a ELSE t END AS status, CASE WHEN n = 0 THEN NULL WHEN n <= 2 AND least(n, m) = 0 THEN 'Text: ' || n || ' low-confidence match(es), likely ASR noise or false positive'
         WHEN n <= 2 THEN 'Text: ' || n || ' PII match(es) found, manual review recommended' ELSE 'Text: ' || n || ' PII instances leaked - check bleep alignment' END AS note FROM s""",
+    "chain_results": _with("""SELECT CAST(e.id AS VARCHAR) AS key, CASE WHEN e.id % 13 > 0 THEN 'talk_' || e.id % 97 END AS conversation_id, fit AS success, CASE WHEN NOT fit THEN 'audio_redaction' END AS stage,
+        CASE WHEN NOT fit THEN 'a word has no times' END AS error, CASE WHEN fit THEN coalesce(m.n, 0) ELSE 0 END AS pii_count, CASE WHEN fit THEN status END AS status, CASE WHEN fit THEN e.ends END AS duration, CASE WHEN fit THEN text END AS redacted_text
+        FROM (SELECT id, arg_max(end_time, idx) AS ends, max(seg) > 0 AS fit FROM normed GROUP BY id) e JOIN told USING (id) JOIN judged USING (id) LEFT JOIN (SELECT id, count(*) AS n FROM matches GROUP BY id) m USING (id)""",
+        "told AS MATERIALIZED (SELECT id, 0 AS seg, redacted_text AS text FROM redacted)", _found_in("told"), _JUDGED),
+    "conversation_counts": _with("SELECT id, count_if(NOT is_fuzzy) AS n_exact, count_if(is_fuzzy) AS n_fuzzy FROM matches GROUP BY id"),
+    "batch_ordinals": "SELECT path, 'talk_' || o_orderkey AS conversation_id, row_number() OVER (ORDER BY path) AS ordinal, count(*) OVER () AS total FROM (SELECT o_orderkey, 'audio/' || o_custkey % 7 || '/talk_' || o_orderkey || '.wav' AS path FROM orders)",
+    "months_in_context": _with(f"""SELECT id, seg, substring(text, p, 3) AS text, 'month' AS category, CAST(p - 1 AS INT) AS first_char, CAST(p + 2 AS INT) AS end_char FROM mays
+        WHERE NOT regexp_matches(substring(' ' || text, p, 1), '\\w') AND NOT regexp_matches(substring(text || ' ', p + 3, 1), '\\w') AND {_SAYS_MONTH}""",
+        f"mays AS (SELECT *, {_around(s='p - 1', e='p + 2')} AS w FROM (SELECT *, unnest(list_filter(range(1, length(text) - 1), lambda k: lower(substring(text, k, 3)) = 'may')) AS p FROM carrier))"),
+    "months_said": _with(f"SELECT id, idx AS word_idx, word AS text, start_time, end_time FROM mays WHERE {_SAYS_MONTH}",
+        "whole AS (SELECT id, string_agg(word, ' ' ORDER BY idx) AS text FROM words GROUP BY id)",
+        "placed AS (SELECT *, coalesce(sum(length(word) + 1) OVER (PARTITION BY id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM normed)",
+        f"mays AS (SELECT p.*, {_around(s='s', e='s + 3')} AS w FROM placed p JOIN whole USING (id) WHERE norm = 'may')"),
+    "rounded_amounts": "SELECT l_linenumber, count(*) AS n, round_even(CAST(sum(CAST(l_discount * l_quantity AS DECIMAL(28, 18))) AS DOUBLE), 1) AS rounded FROM lineitem GROUP BY l_linenumber",
+    "paired_transcripts": _with("""SELECT CAST(id AS VARCHAR) AS id, trim(CASE WHEN id % 2 = 0 THEN 'first ' ELSE '' END || h) AS reference, hypothesis FROM
+        (SELECT id, max(CASE WHEN seg = 0 THEN plain END) AS h, string_agg(plain, ' ' ORDER BY seg) AS hypothesis FROM (SELECT id, seg, trim(regexp_replace(lower(regexp_replace(text, '[^\\w\\s]', ' ', 'g')), '\\s+', ' ', 'g')) AS plain FROM carrier) GROUP BY id)"""),
     "wer_words": _with("SELECT id, seg, array_to_string(list_filter(regexp_split_to_array(regexp_replace(lower(text), '[^\\w\\s'']', ' ', 'g'), '\\s+'), lambda x: x <> ''), '|') AS words FROM carrier"),
     "clean_human": _with("SELECT id, seg, trim(regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace('[0.500] <Speaker_1> ' || text || ' <breath> Don''t stop. ', '\\[\\d+\\.\\d+\\]', ' ', 'g'), '<[^>]+>', ' ', 'g'), '[^\\w\\s]', ' ', 'g')), '\\s+', ' ', 'g')) AS clean FROM carrier"),
     "anti_existing": "WITH c AS (SELECT c_custkey AS o, 'audio_' || c_custkey || CASE WHEN c_custkey % 3 = 0 THEN '.txt' ELSE '.wav' END AS name FROM customer), f AS (SELECT * FROM c WHERE name LIKE '%.wav' ORDER BY o LIMIT 50) SELECT name FROM f WHERE o % 2 <> 0",

@@ -59,17 +59,33 @@ def test_sizes(talks):
     assert got == {"a": (3, 6), "b": (1, 2), "c": (0, 0)}
 
 
-def test_render():
-    text = render.report({"summary": {"total_conversations": 2, "successful": 1, "failed": 1, "total_pii_redacted": 3}, "verification_status": {"PASS": 1, "FAIL": 0}, "processing_times": {"a": 1.0, "b" * 40: 4.0}, "failures": [{"conversation_id": "b", "stage": "transcription", "error": "x" * 90}]})
-    assert "Failed:                1" in text and "▓" * 30 + " 4.0s" in text and "b" * 31 not in text and "x" * 60 in text and "x" * 61 not in text
-    assert "Average per file:      2.5s" in text and "█" * 40 + " 1" in text
-    assert "(no data)" in render.report({}) and "(no data)" in render.chart({}, "t")
-    found = [{"category": "day", "original": "Monday", "replacement": "[DATE]"}] * 12
-    shown = render.transcript({"conversation_id": "a", "redactions": found, "pii_count": 12, "original_text": "o" * 300, "redacted_text": None})
-    assert shown.count("'Monday") == 10 and "... and 2 more" in shown and "o" * 200 in shown and "o" * 201 not in shown
+def test_render(spark):
+    totals = spark.createDataFrame([(2, 1, 1, 3)], "total_conversations int, successful int, failed int, total_pii_redacted int")
+    statuses = spark.createDataFrame([("PASS", 4), ("FAIL", 8), ("REVIEW_REQUIRED", 0)], "status string, n int")
+    times = spark.createDataFrame([("a", 1.0), ("b" * 40, 4.0)], "conversation_id string, processing_time_s double")
+    failed = spark.createDataFrame([("b", "transcription", "x" * 90), ("a", "detection", None)], "conversation_id string, stage string, error string")
+    text = render.report_text(totals, statuses, times, failed)
+    lines = text.split("\n")
+    assert "  1  failed" in lines and "  3  total pii redacted" in lines and "  5.0 in all, 2.5 on average, 4.0 at most" in lines
+    at = lines.index("[status]")
+    assert lines[at + 1 : at + 4] == ["  8  FAIL  " + "█" * 40, "  4  PASS  " + "█" * 20, "  0  REVIEW_REQUIRED  "]
+    assert "b" * 30 in text and "b" * 31 not in text and "x" * 60 in text and "x" * 61 not in text
+    assert lines[lines.index("[failures]") + 1 :] == ["  detection  a  -", "  transcription  b  " + "x" * 60]
+    assert render.report_text(totals, statuses, times, failed, 1).count("and 1 more") == 2 and "and 2 more" in render.report_text(totals, statuses, times, failed, 1)
+    assert render.report_text(*(d.limit(0) for d in (totals, statuses, times, failed))).count("(no data)") == 3
     assert render.percent(float("inf")) == "inf" and render.percent(0.25) == "25.00%"
 
 
+def test_render_transcripts(spark):
+    found = [("Monday", "[DAY]", "day")] * 11 + [(None, "[CITY]", "city")]
+    rows = [("a", "o" * 300, None, 12, found), (None, "plain", "plain", 0, []), ("c", None, "x", None, None)]
+    got = render.transcript_texts(spark.createDataFrame(rows, show.DEIDENTIFIED))
+    shown = {r["conversation_id"]: r["shown"].split("\n") for r in got.collect()}
+    assert shown["a"][:3] == ["[a] 12 found", "   1  city", "   11  day"] and shown["a"].count("    [DAY] for Monday") == 10 and "    and 2 more" in shown["a"]
+    assert shown["a"][-2:] == ["  before: " + "o" * 200, "  after: -"]
+    assert shown[None] == ["[-] 0 found", "  before: plain", "  after: plain"] and shown["c"][0] == "[c] 0 found"
+
+
 def test_accuracy(spark, tmp_path, capsys):
     asr, human = tmp_path / "asr", tmp_path / "human"
     asr.mkdir(), human.mkdir()
@@ -85,6 +101,8 @@ def test_accuracy(spark, tmp_path, capsys):
     rows = {r["conversation_id"]: r for r in spark.read.json(f"{out}/individual").collect()}
     assert (rows["x"]["insertions"], rows["y"]["substitutions"]) == (1, 1)
     assert spark.read.json(f"{out}/totals").first()["total_reference_words"] == 5
+    whole = json.loads((tmp_path / "out/results.json").read_text())
+    assert whole["files_analyzed"] == 2 and whole["aggregate_wer"] == 0.4 and [r["conversation_id"] for r in whole["individual_results"]] == ["x", "y"]
     assert accuracy.main(["--asr", str(asr / "y.json"), "--human", str(human / "x.txt")]) == 0  # of different names
     told = capsys.readouterr().out
     assert "WER ANALYSIS: y" in told and "Reference words: 3" in told and "errors:" in told
@@ -92,6 +110,7 @@ def test_accuracy(spark, tmp_path, capsys):
     empty.mkdir()
     (empty / "q.txt").write_text("q")
     assert accuracy.main(["--asr-dir", str(asr), "--human-dir", str(empty)]) == 1
+    assert accuracy.main(["--asr-dir", str(tmp_path / "none"), "--human-dir", str(empty)]) == 1 and "not found" in capsys.readouterr().out
 
 
 def test_show_reads_what_the_chain_writes(spark, tmp_path, capsys):
@@ -99,7 +118,11 @@ def test_show_reads_what_the_chain_writes(spark, tmp_path, capsys):
     talk.write_text(json.dumps({"conversation_id": "t", "audio_duration": 2.0, "segments": [{"text": "on Monday", "start": 0.0, "end": 1.0, "words": [{"word": "on", "start": 0.0, "end": 0.4}, {"word": "Monday", "start": 0.5, "end": 0.9}]}]}))
     out = str(tmp_path / "out")
     assert pipeline.main(["--file", str(talk), "--output", out, "--verbose"]) == 0
-    assert show.main(["--report", f"{out}/qa/processing_report", "--transcripts", f"{out}/transcripts_deid"]) == 0
-    told = capsys.readouterr().out
-    assert "Total PII redacted:    1" in told and "CONVERSATION: t" in told and "Original: on Monday" in told and "Redacted: on [" in told
+    told = {}
+    for way in ("report", "results"):
+        source = f"{out}/qa/processing_report" if way == "report" else f"{out}/qa/results"
+        assert show.main([f"--{way}", source, "--transcripts", f"{out}/transcripts_deid", "--output", str(tmp_path / "texts")]) == 0
+        told[way] = capsys.readouterr().out
+        assert "1  total pii redacted" in told[way] and "[t] 1 found" in told[way] and "before: on Monday" in told[way] and "after: on [DAY]" in told[way]
+    assert told["report"] == told["results"] and spark.read.text(str(tmp_path / "texts")).count() == 5
     assert pipeline.main(["--file", str(tmp_path / "none.wav"), "--output", out, "--model", "fake_speech:model"]) == 1
