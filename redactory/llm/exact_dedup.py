@@ -13,10 +13,12 @@ columns and their names do not matter.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import ascii_lower, kept, shared_path, skew_join, there
+from ._common import ascii_lower, kept, qualified, shared_path, skew_join, there
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -31,20 +33,27 @@ def buckets_for(rows: int) -> int:
 
 
 class DigestIndex:
-    """digest binary, keep_id long, group_size long (of the part that brought the digest), at a shared path."""
+    """digest binary, keep_id long, group_size long (of the part that brought the digest), at a shared path.
+
+    The session's catalogue knows the table by a hash of the whole path, so indexes of one name in several folders are
+    indexes of their own; one path, however it is spelt, is one index."""
 
     SCHEMA = "digest BINARY, keep_id BIGINT, group_size BIGINT"
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 32):
-        self.spark, self.path = spark, path or shared_path(spark, "digest_index")
+        self.spark, self.path = spark, qualified(spark, path or shared_path(spark, "digest_index"))
         spec = f"{self.path}_spec"
         if path and there(spark, spec):
             buckets = spark.read.parquet(spec).first()["buckets"]
         else:
             spark.range(1, numPartitions=1).select(F.lit(buckets).alias("buckets")).write.parquet(spec)
         self.buckets = buckets
-        self.table = "digest_index_" + "".join(c if c.isalnum() else "_" for c in self.path.rpartition("/")[2])
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.table} ({self.SCHEMA}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{self.path}'")
+        self.table = "digest_index_" + hashlib.sha256(self.path.encode()).hexdigest()[:32]
+        place = self.path.replace("'", "\\'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.table} ({self.SCHEMA}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{place}'")
+        found = spark.sql(f"DESCRIBE TABLE EXTENDED {self.table}").filter("col_name = 'Location'").first()["data_type"]
+        if qualified(spark, found) != self.path:
+            raise ValueError(f"the catalogue's {self.table} lies at {found}, not at {self.path}")
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.table)

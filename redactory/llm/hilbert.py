@@ -4,9 +4,10 @@ Each row gets a cell of a dims x 2^bits grid; rows are sorted by the cell's plac
 so that no task holds more than its share, a hot cell included) and the sorted sequence is cut into runs of equal
 counts. A shard then covers a small box of every dimension, which min/max statistics can prune by.
 
-Text categories are quantised by their rank among the distinct values. Cases: null metadata takes cell 0 of its dimension; null texts have size 1 and the checksum of no bytes; ties on
-the curve go by checksum and id, so equal texts stay together; an empty table gives no rows. Rows repeated in
-full get slots of their own. Columns besides the stated ones do not matter.
+Text categories are quantised by their rank among the distinct values. Cases: null metadata takes cell 0 of its
+dimension; null texts have size 1 and the checksum of no bytes; ties on the curve go by checksum and id, so that equal
+texts of one cell follow one another; equal texts whose metadata or ids differ may lie in different shards. An empty
+table gives no rows. Rows repeated in full get slots of their own. Columns besides the stated ones do not matter.
 """
 
 from __future__ import annotations

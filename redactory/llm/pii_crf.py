@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
+from itertools import count, islice, takewhile
 from zlib import crc32
 
 import numpy as np
@@ -116,7 +117,8 @@ def graph(text: str, base: list[tuple[int, int, int]]) -> tuple[list, list, list
             continue
         while b < len(base) and base[b][2] <= start:
             b += 1
-        seen = next((k + 1 for s, k, e in base[b : b + 4] if s < end and start < e), 0)
+        near = takewhile(lambda x, end=end: x[0] < end, islice(base, b, None))  # spans ascend by start
+        seen = next((k + 1 for _, k, e in near if start < e), 0)
         word, i = text[start:end], len(nodes)
         lead = text[max(0, start - 40) : start].split()
         nodes.append((start, end, node_features(word, lead[-1] if lead else "")))
@@ -165,9 +167,10 @@ def fit(rows: list[tuple[list[int], int, list[int], list[int]]], steps: int = 80
     return {"own": w[:FEATURES], "chain": (pair[0] + pair[0].T) / 2, "skip": (pair[1] + pair[1].T) / 2}
 
 
-def marginals(own: np.ndarray, chain: np.ndarray, skip: np.ndarray, model: dict, damping: float = 0.3, settled: float = 1e-4, most_rounds: int = 500) -> np.ndarray:
+def marginals(own: np.ndarray, chain: np.ndarray, skip: np.ndarray, model: dict, damping: float = 0.3, settled: float = 1e-4) -> np.ndarray:
     """Loopy sum-product over log potentials own (nodes x labels) and edges (pairs of node indices), until no message
-    changes by more than `settled`; damped ever more, so that circles come to rest."""
+    changes by more than `settled`. Messages are damped ever more, from round 500 on by a fixed share a round, so that
+    circles come to rest: a step is then smaller than `settled` after some 700 rounds more, whatever the potentials."""
     edges = np.concatenate([chain.reshape(-1, 2), skip.reshape(-1, 2)]).astype(np.int64)
     src, dst = np.concatenate([edges, edges[:, ::-1]]).T
     kind = np.tile(np.repeat([0, 1], [len(chain), len(skip)]), 2)
@@ -175,12 +178,12 @@ def marginals(own: np.ndarray, chain: np.ndarray, skip: np.ndarray, model: dict,
     back = np.roll(np.arange(len(src)), len(edges))
     msg = np.full((len(src), LABELS), -np.log(LABELS))
     belief = own + np.stack([np.bincount(dst, msg[:, k], len(own)) for k in range(LABELS)], 1)
-    for turn in range(most_rounds if len(edges) else 0):
+    for turn in count() if len(edges) else ():
         into = belief[src] - msg[back]
         into = np.exp(into - into.max(1, keepdims=True))
         new = np.log(np.einsum("ea,eab->eb", into, pair) + 1e-300)
         new -= np.log(np.exp(new - new.max(1, keepdims=True)).sum(1, keepdims=True)) + new.max(1, keepdims=True)
-        keep = 1 - (1 - damping) / (1 + turn / 100)
+        keep = 1 - (1 - damping) / (1 + turn / 100) * 0.99 ** max(0, turn - 500)
         new = keep * msg + (1 - keep) * new
         change, msg = np.abs(np.exp(new) - np.exp(msg)).max(), new
         belief = own + np.stack([np.bincount(dst, msg[:, k], len(own)) for k in range(LABELS)], 1)

@@ -56,7 +56,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixture(table(spark, sf_dir, "documents"))
-    return out.withColumnRenamed("id", "doc_id").withColumn("weight", F.round("weight", 9))
+    return out.withColumnRenamed("id", "doc_id").withColumns({c: F.round(c, 9) for c in ("weight", "exponent")})
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import kept, skew_join, written
-from .set_links import _then_none, linked, named, shingle_hashes, shingle_set
+from .set_links import _then_none, components, linked, named, shingle_hashes, shingle_set  # noqa: F401 components are part of this module too
 
 BLOCK, PAIRWISE = 1 << 15, 6000
 

@@ -228,3 +228,68 @@ def test_importance_cases(spark):
     assert got.filter("rank IS NOT NULL").count() == 3 and got.count() == 40
     drawn = importance.resampled(some, none)
     assert drawn.columns == ["doc_id", "text"] and drawn.count() == 3
+
+
+def test_indexes_of_one_name(spark, tmp_path):
+    from redactory.llm.exact_dedup import DigestIndex, digests
+
+    texts = lambda *t: digests(spark.createDataFrame(list(enumerate(t)), "doc_id long, text string"))
+    x, y = (DigestIndex(spark, str(tmp_path / d / "it's idx"), buckets=4) for d in "xy")
+    assert x.add(texts("a", "b")).count() == 2 and y.rows().count() == 0
+    assert y.add(texts("b", "c", "d")).count() == 3 and x.rows().count() == 2
+    again = DigestIndex(spark, f"file:{tmp_path}/x/it's idx/")  # the same place, spelt otherwise
+    assert again.table == x.table and again.add(texts("b", "e")).count() == 3 and y.rows().count() == 3
+
+
+@pytest.mark.parametrize("how", [{"toward": 0.5}, {"toward": 0.9, "most_repeats": 50.0}, {"entropy": 0.7, "most_repeats": 1e9}, {"toward": 1.0, "most_repeats": 1.5}, {"entropy": 0.2, "most_repeats": 2.0}])
+def test_temperature_against_another_solution(how):
+    """The exponent by Newton's method on the entropy, or on the repeats where those are the limit."""
+    from redactory.llm import mixing
+
+    tokens = {"a": 100, "b": 500, "c": 3000, "d": 20000, "e": 21000}
+    p = np.array(list(tokens.values()), float)
+    at = lambda a: (p / p.max()) ** a / ((p / p.max()) ** a).sum()
+    entropy = lambda a: -(at(a) * np.log(at(a))).sum() / np.log(len(p))
+    repeats = lambda a: (lambda w: ((p / w).max() * w / p).max())(at(a))
+    a, w, size, limit = mixing.tempering(tokens, **how)
+    target = how.get("entropy", entropy(1.0) + how.get("toward", 0) * (1 - entropy(1.0)))
+    most = how.get("most_repeats", 4.0)
+
+    def solve(f, x):
+        for _ in range(200):
+            slope = (f(x + 1e-6) - f(x - 1e-6)) / 2e-6
+            x = min(max(x - f(x) / slope, 0.0), 60.0)
+        return x
+
+    free = solve(lambda x: entropy(x) - target, 1.5 if target < entropy(1.0) else 0.5) if target < 1 else 0.0
+    if repeats(free) > most:
+        free = solve(lambda x: np.log(repeats(x) / most), 1.05 if free > 1 else 0.95)
+        assert limit == "repeats" and abs(repeats(a) - most) < 1e-6
+    else:
+        assert limit == "entropy" and abs(entropy(a) - target) < 1e-9
+    assert abs(a - free) < 1e-5 and np.allclose(list(w.values()), at(a)) and abs(size - (p / at(a)).max()) < 1e-6 * size
+    assert a != 1 and max(abs(at(a) - at(1.0))) > 0.005  # the mix is not the natural one
+
+
+def test_mixing_has_something_to_do(spark):
+    from redactory.llm import mixing
+
+    rows = [(i, "w " * 20, f"s{min(i % 20, 12)}") for i in range(1000)] + [(None, "same text", "s1")] * 300
+    got = mixing.mixture(spark.createDataFrame([(*r, "x", 1.0) for r in rows], "doc_id long, text string, source string, block string, weight double"), block_tokens=200).collect()
+    assert len(got) > len(rows) and {r["id"] for r in got if r["id"] is not None} == set(range(1000))
+    nulls = {r["block"] for r in got if r["id"] is None}
+    assert len(nulls) > 1 and sum(r["id"] is None and r["pass"] == 0 for r in got) == 300 and {r["limit"] for r in got} == {"entropy"}
+    assert mixing.tempering({"a": 7, "b": 7})[:2] == (1.0, {"a": 0.5, "b": 0.5}) and mixing.tempering({"a": 3})[1] == {"a": 1.0}
+
+
+def test_words_among_many_spans():
+    from redactory.llm import pii_crf
+
+    base = [(0, 0, 3), (4, 3, 5), (4, 2, 6), (5, 1, 6), (5, 2, 7), (6, 3, 40), (50, 1, 60)]  # more than four before the one that holds the word
+    nodes, label, *_ = pii_crf.graph("a@b 1234567890 and 12345 7777777 at 5555 55555", base)
+    assert label[0] == 1 and label[1] > 0 and [b for n, b in zip(nodes, label) if n[0] > 40] == [0]
+    rng = np.random.default_rng(1)
+    model = {"chain": rng.normal(0, 3, (pii_crf.LABELS,) * 2), "skip": -4 * np.eye(pii_crf.LABELS)}
+    edges = np.array([(i, j) for i in range(12) for j in range(i)])
+    p = pii_crf.marginals(rng.normal(0, 2, (12, pii_crf.LABELS)), edges[:30], edges[30:], model)
+    assert np.allclose(p.sum(1), 1) and np.isfinite(p).all()  # a frustrated graph comes to rest
