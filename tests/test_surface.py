@@ -118,6 +118,7 @@ def test_show_reads_what_the_chain_writes(spark, tmp_path, capsys):
     talk.write_text(json.dumps({"conversation_id": "t", "audio_duration": 2.0, "segments": [{"text": "on Monday", "start": 0.0, "end": 1.0, "words": [{"word": "on", "start": 0.0, "end": 0.4}, {"word": "Monday", "start": 0.5, "end": 0.9}]}]}))
     out = str(tmp_path / "out")
     assert pipeline.main(["--file", str(talk), "--output", out, "--verbose"]) == 0
+    capsys.readouterr()
     told = {}
     for way in ("report", "results"):
         source = f"{out}/qa/processing_report" if way == "report" else f"{out}/qa/results"
