@@ -293,3 +293,51 @@ def test_words_among_many_spans():
     edges = np.array([(i, j) for i in range(12) for j in range(i)])
     p = pii_crf.marginals(rng.normal(0, 2, (12, pii_crf.LABELS)), edges[:30], edges[30:], model)
     assert np.allclose(p.sum(1), 1) and np.isfinite(p).all()  # a frustrated graph comes to rest
+
+
+def plain_repeats(rows, length=50):
+    """(n_bytes, n_removed, n_spans, kept) of rows (id, text), in order of ids."""
+    seen, out = {}, []
+    for i, t in rows:
+        b = (t or "").encode()
+        for s in range(len(b) - length + 1):
+            seen[b[s : s + length]] = min(i, seen.get(b[s : s + length], i))
+    for i, t in rows:
+        b = (t or "").encode()
+        off = bytearray(len(b))
+        for s in range(len(b) - length + 1):
+            if seen[b[s : s + length]] < i:
+                off[s : s + length] = b"\1" * length
+        out.append((i, len(b), sum(off), len(re.findall(b"\1+", bytes(off))), bytes(c for c, o in zip(b, off) if not o)))
+    return sorted(out)
+
+
+def test_suffix_family(spark, tmp_path):
+    """Many batches, each against the levels before it; levels merge geometrically; the family is opened again."""
+    from redactory.llm.suffix_dedup import SuffixIndex, remove_repeats
+
+    rng = random.Random(41)
+    talk = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
+    shared, rows = [talk(30) for _ in range(12)], []
+    for i in range(160):
+        rows.append((i, " ".join(rng.choice(shared) if rng.random() < 0.3 else talk(rng.randint(1, 25)) for _ in range(rng.randint(0, 6)))))
+    rows += [(160, None), (161, "ab" * 300), (162, "ab" * 200), (162, "ab" * 250), (163, rows[5][1]), (164, rows[163 - 160][1] + "x"), (165, "z" * 700_000), (166, "z" * 49), (167, "y" + "z" * 60)]
+    want = plain_repeats([r for r in rows if r[0] != 165 and r[0] < 166])
+    long_ = plain_repeats([(165, "z" * 60), (166, "z" * 49), (167, "y" + "z" * 60)])  # a text beyond a segment, in short
+    kind, got, sizes = "doc_id long, text string, unit string, codes int", [], []
+    for lo in range(0, 168, 12):
+        index = SuffixIndex(spark, str(tmp_path / "family"), unit_bytes=3000, bucket_bytes=1 << 12, buckets=2)  # opened anew each time
+        part = [(*r, "clash", 1) for r in rows if lo <= r[0] < lo + 12]
+        got += [(r["id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in index.add(spark.createDataFrame(rng.sample(part, len(part)), kind).repartition(2)).collect()]
+        sizes.append([level.n_bytes for level in index.levels])
+    got.sort()
+    assert [g for g in got if g[0] < 165] == want and [g[2:4] for g in got if g[0] == 167] == [long_[2][2:4]] and [g[2] for g in got if g[0] in (165, 166)] == [0, 0]
+    assert max(map(len, sizes)) <= 5 and len({level.buckets for level in index.levels}) > 0 and sum(sizes[-1]) == sum(g[1] for g in got)
+    assert all(a > 2 * b for s in sizes for a, b in zip(s, s[1:-1]))  # but for the newest, each is more than twice the next
+    with pytest.raises(ValueError):
+        index.add(spark.createDataFrame([(3, "late")], "doc_id long, text string"))
+    assert index.add(spark.createDataFrame([(None, "a" * 60)], "doc_id long, text string")).first()["n_removed"] == 0
+    df = spark.createDataFrame([r for r in rows if r[0] < 165] + [(None, rows[0][1])], "doc_id long, text string").repartition(5)
+    for batches in (1, 3):
+        again = [(r["id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in remove_repeats(df, batches=batches, unit_bytes=5000).collect() if r["id"] is not None]
+        assert sorted(again) == want
