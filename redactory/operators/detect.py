@@ -133,10 +133,17 @@ def fuzzy(words: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def detect(words: DataFrame, may_context: bool = False) -> DataFrame:
-    """Exact and fuzzy matches. Order by (id, start_time, is_fuzzy, word_idx) to list them."""
+    """Exact and fuzzy matches; see placed() for their order."""
     return _picked(_candidates(words, may_context, 3))
 
 
+def placed(matches: DataFrame, *by: str) -> DataFrame:
+    """matches with place (1, 2, ...) in their conversation, as a reader is shown them: of detect() by start_time, exact
+    before fuzzy; of detect_in_text() by start."""
+    by = by or (("start_time", "is_fuzzy", "word_idx") if "word_idx" in matches.columns else ("start",))
+    return matches.withColumn("place", F.row_number().over(W.partitionBy("id").orderBy(*by)))
+
+
 def detect_in_text(texts: DataFrame, may_context: bool = False) -> DataFrame:
     """(id, text, category, start, end) of whole-word terms in (id, text): longest terms first over the whole text,
     no overlaps, no plurals, nothing fuzzy. Offsets are code points, end exclusive."""

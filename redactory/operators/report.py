@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 
 from ..functions.exact import exact_sum, round1
 from ..functions.text import bar
+from .ordinal import numbered
 from .verify import STATUSES
 
 
@@ -52,11 +53,17 @@ def conversation_counts(matches: DataFrame) -> DataFrame:
 
 
 def bars(counts: DataFrame, label: str, value: str, width: int = 50) -> DataFrame:
-    """(label, value, bar), longest bar `width` blocks; order by value descending, then label."""
+    """(label, value, bar), longest bar `width` blocks; order by value descending, then label, as ranked_bars() does."""
     most = counts.agg(F.max(value).alias("_most"))
     return counts.crossJoin(F.broadcast(most)).select(F.col(label).alias("label"), F.col(value).alias("value"), bar(F.col(value), F.col("_most"), width).alias("bar"))
 
 
+def ranked_bars(counts: DataFrame, label: str, value: str, width: int = 50) -> DataFrame:
+    """bars() with place (1, 2, ...), largest first, then by label."""
+    drawn = bars(counts, label, value, width).withColumn("_by", -F.col("value"))
+    return numbered(drawn, ["_by", "label"], ordinal="place").drop("_by", "total")
+
+
 def compared(before: DataFrame, after: DataFrame, key: str = "metric", value: str = "value") -> DataFrame:
     """(key, before, after, delta) over the keys of both; a missing value is 0."""
     j = before.select(key, F.col(value).alias("before")).join(after.select(key, F.col(value).alias("after")), key, "full").na.fill(0, ["before", "after"])

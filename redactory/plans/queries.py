@@ -290,6 +290,23 @@ def conversation_counts(spark, sf_dir):
     return report.conversation_counts(detect.detect(words(spark, sf_dir)))
 
 
+def match_places(spark, sf_dir):
+    """Matches in order of time within their conversation."""
+    return detect.placed(detect.detect(words(spark, sf_dir))).select("id", "word_idx", "is_fuzzy", "place")
+
+
+def text_match_places(spark, sf_dir):
+    """Findings of text mode in order within their segment."""
+    t = carrier(spark, sf_dir).select(F.struct("id", "seg").alias("id"), "text")
+    return detect.placed(detect.detect_in_text(t)).select("id.id", "id.seg", F.col("start").alias("first_char"), "place")
+
+
+def bar_places(spark, sf_dir):
+    """Suppliers' ship counts as bars, largest first."""
+    n = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n"))
+    return report.ranked_bars(n, "l_suppkey", "n", 40)
+
+
 def batch_ordinals(spark, sf_dir):
     """Running numbers of a batch: the orders' recordings, by path."""
     o = table(spark, sf_dir, "orders").select(F.concat(F.lit("audio/"), F.col("o_custkey") % 7, F.lit("/talk_"), "o_orderkey", F.lit(".wav")).alias("path"))
@@ -332,7 +349,7 @@ def topk_redactions(spark, sf_dir):
     return per.select("id", F.array_join(F.transform(F.slice("r", 1, 10), lambda x: x["original"]), "|").alias("shown"), F.greatest(F.size("r") - 10, F.lit(0)).alias("more"))
 
 
-QUERIES = {f.__name__: f for f in (lexicon_stats, lexicon_terms, normalize_tokens, exact_matches, exact_category_counts, fuzzy_matches, fuzzy_tokens, detect_all, redacted_text, redaction_log, detect_in_text, verify_text_status, status_counts, bleep_regions, region_samples, manifest, qa_summary, failures, processing_times, category_bars, before_after, may_context, overall_status, wer_pairs, wer_batch, wer_words, clean_human, anti_existing, topk_redactions, chain_results, conversation_counts, batch_ordinals, months_in_context, months_said, rounded_amounts, paired_transcripts)}
+QUERIES = {f.__name__: f for f in (lexicon_stats, lexicon_terms, normalize_tokens, exact_matches, exact_category_counts, fuzzy_matches, fuzzy_tokens, detect_all, redacted_text, redaction_log, detect_in_text, verify_text_status, status_counts, bleep_regions, region_samples, manifest, qa_summary, failures, processing_times, category_bars, before_after, may_context, overall_status, wer_pairs, wer_batch, wer_words, clean_human, anti_existing, topk_redactions, chain_results, conversation_counts, match_places, text_match_places, bar_places, batch_ordinals, months_in_context, months_said, rounded_amounts, paired_transcripts)}
 
 
 def _with(select: str, *more: str) -> str:
@@ -407,6 +424,9 @@ ORACLE_SQL = {
         FROM (SELECT id, arg_max(end_time, idx) AS ends, max(seg) > 0 AS fit FROM normed GROUP BY id) e JOIN told USING (id) JOIN judged USING (id) LEFT JOIN (SELECT id, count(*) AS n FROM matches GROUP BY id) m USING (id)""",
         "told AS MATERIALIZED (SELECT id, 0 AS seg, redacted_text AS text FROM redacted)", _found_in("told"), _JUDGED),
     "conversation_counts": _with("SELECT id, count_if(NOT is_fuzzy) AS n_exact, count_if(is_fuzzy) AS n_fuzzy FROM matches GROUP BY id"),
+    "match_places": _with("SELECT id, word_idx, is_fuzzy, CAST(row_number() OVER (PARTITION BY id ORDER BY start_time, is_fuzzy, word_idx) AS INT) AS place FROM matches"),
+    "text_match_places": _with("SELECT id, seg, s AS first_char, CAST(row_number() OVER (PARTITION BY id, seg ORDER BY s) AS INT) AS place FROM picked", _found_in("carrier")),
+    "bar_places": "SELECT l_suppkey AS label, n AS value, repeat('█', CAST(floor(n::DOUBLE / max(n) OVER () * 40) AS INT)) AS bar, row_number() OVER (ORDER BY n DESC, l_suppkey) AS place FROM (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY l_suppkey)",
     "batch_ordinals": "SELECT path, 'talk_' || o_orderkey AS conversation_id, row_number() OVER (ORDER BY path) AS ordinal, count(*) OVER () AS total FROM (SELECT o_orderkey, 'audio/' || o_custkey % 7 || '/talk_' || o_orderkey || '.wav' AS path FROM orders)",
     "months_in_context": _with(f"""SELECT id, seg, substring(text, p, 3) AS text, 'month' AS category, CAST(p - 1 AS INT) AS first_char, CAST(p + 2 AS INT) AS end_char FROM mays
         WHERE NOT regexp_matches(substring(' ' || text, p, 1), '\\w') AND NOT regexp_matches(substring(text || ' ', p + 3, 1), '\\w') AND {_SAYS_MONTH}""",

@@ -104,3 +104,15 @@ def test_mask_files_rows(spark):
     assert got["a"]["error"] is None and got["bad"]["content"] is None and got["bad"]["error"] and got["none"]["error"]
     rate, x = audio.decode(bytes(got["a"]["content"]))
     assert len(x) == 2 * rate and abs(float(x[0]) - 1000 / 32768) < 1e-3
+
+
+def test_samples(spark, tmp_path, monkeypatch, capsys):
+    """--test takes the recordings of a fixed folder."""
+    ship(spark)
+    monkeypatch.chdir(tmp_path)
+    assert pipeline.main(["--test", "--output", str(tmp_path / "out"), "--model", "fake_speech:model"]) == 1 and "not found" in capsys.readouterr().out
+    (tmp_path / pipeline.SAMPLES).mkdir(parents=True)
+    (tmp_path / pipeline.SAMPLES / "b.WAV").write_bytes(wav())
+    monkeypatch.setattr(pipeline, "SAMPLES", str(tmp_path / pipeline.SAMPLES))  # Spark's working folder is not this one
+    assert pipeline.main(["--test", "--output", str(tmp_path / "out"), "--model", "fake_speech:model", "--no-verify"]) == 0
+    assert "1 of 1 conversations, 0 terms redacted" in capsys.readouterr().out
