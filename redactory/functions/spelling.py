@@ -81,8 +81,9 @@ def _looked_up(words: pa.Array) -> pa.Array:
 
 
 def near_term(normal_form: Column) -> Column:
-    """FOUND of each normal form, null where no term is near."""
-    return F.arrow_udf(_looked_up, FOUND)(normal_form)
+    """FOUND of each normal form, null where no term is near. Called nondeterministic so that a filter on what is found is not
+    pushed below it, which would look every word up twice."""
+    return F.arrow_udf(_looked_up, FOUND).asNondeterministic()(normal_form)
 
 
 def can_be_near(normal_form: Column) -> Column:
