@@ -28,13 +28,14 @@ def test_exact_sum(spark):
     rng = random.Random(6)
     xs = [rng.choice((1, -1)) * rng.random() * 10 ** rng.randint(-9, 15) for _ in range(5000)] + [0.1] * 3000 + [1e16, 1.0, -1e16, None]
     df = spark.createDataFrame([(x,) for x in xs], "x double")
-    sums = {df.repartition(n).agg(exact.exact_sum(F.col("x"))).first()[0] for n in (1, 2, 3, 7, 50)} | {df.orderBy("x").agg(exact.exact_sum(F.col("x"))).first()[0]}
+    sums = {df.repartition(n).agg(exact.exact_sum(F.col("x"))).first()[0] for n in (1, 3, 7)} | {df.orderBy("x").agg(exact.exact_sum(F.col("x"))).first()[0]}
     want = math.fsum(x for x in xs if x is not None)
     assert len(sums) == 1 and abs(sums.pop() - want) <= 2 * math.ulp(want)
     assert df.limit(0).agg(exact.exact_sum(F.col("x"))).first()[0] is None
     assert spark.createDataFrame([(1.5,), (float("inf"),)], "x double").agg(exact.exact_sum(F.col("x"))).first()[0] == float("inf")
-    for few in ([0.1, 0.2], [1e30 * 0 + 2.0**80, 1.0, -(2.0**80)], [-0.5, 0.25]):
-        assert spark.createDataFrame([(x,) for x in few], "x double").agg(exact.exact_sum(F.col("x"))).first()[0] == math.fsum(few)
+    few = {"a": [0.1, 0.2], "b": [2.0**80, 1.0, -(2.0**80)], "c": [-0.5, 0.25]}
+    got = spark.createDataFrame([(k, x) for k, xs in few.items() for x in xs], "k string, x double").groupBy("k").agg(exact.exact_sum(F.col("x")).alias("s")).collect()
+    assert {r["k"]: r["s"] for r in got} == {k: math.fsum(xs) for k, xs in few.items()}
 
 
 def test_totals_do_not_depend_on_partitions(spark):
@@ -42,7 +43,7 @@ def test_totals_do_not_depend_on_partitions(spark):
     rows = [(str(i), True, None, None, 1, "PASS", rng.uniform(0, 400), rng.random()) for i in range(3000)]
     df = spark.createDataFrame(rows, "conversation_id string, success boolean, stage string, error string, pii_count int, status string, duration double, processing_time_s double")
     for f in (report.summary, report.times):
-        assert len({tuple(f(df.repartition(n)).first()) for n in (1, 3, 8)}) == 1
+        assert len({tuple(f(df.repartition(n)).first()) for n in (1, 5)}) == 1
     assert report.summary(df).first()["total_duration_sec"] == round(math.fsum(r[6] for r in rows), 1)
 
 

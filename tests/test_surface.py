@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from redactory.operators import detect, redact, regions, render, verify
+from redactory.operators import detect, redact, regions, render, report, verify
 from redactory.plans import accuracy, pipeline, show
 from redactory.sources import files
 
@@ -127,3 +127,19 @@ def test_show_reads_what_the_chain_writes(spark, tmp_path, capsys):
         assert "1  total pii redacted" in told[way] and "[t] 1 found" in told[way] and "before: on Monday" in told[way] and "after: on [DAY]" in told[way]
     assert told["report"] == told["results"] and spark.read.text(str(tmp_path / "texts")).count() == 5
     assert pipeline.main(["--file", str(tmp_path / "none.wav"), "--output", out, "--model", "fake_speech:model"]) == 1
+
+
+def test_first_redactions(spark):
+    kind = "id string, original_text string, redacted_text string, redactions array<struct<original:string,replacement:string>>"
+    rows = [("a", "o" * 250, "r" * 250, [("x", "[DAY]")] * 13), ("b", "s", "t", []), ("c", None, None, [("y", "[CITY]")] * 10)]
+    got = {r["id"]: r for r in report.first_redactions(spark.createDataFrame(rows, kind)).collect()}
+    assert [(len(got[k]["shown"]), got[k]["more"]) for k in "abc"] == [(10, 3), (0, 0), (10, 0)]
+    assert (got["a"]["original"], got["a"]["redacted"], got["b"]["original"], got["c"]["original"]) == ("o" * 200, "r" * 200, "s", None)
+
+
+def test_bars(spark):
+    counts = spark.createDataFrame([("a", 10), ("b", 5), ("c", 0), ("d", 10)], "category string, n int")
+    drawn = report.ranked_bars(counts, "category", "n").orderBy("place").collect()
+    assert [(r["label"], len(r["bar"]), r["place"]) for r in drawn] == [("a", 50, 1), ("d", 50, 2), ("b", 25, 3), ("c", 0, 4)]
+    assert [len(r["bar"]) for r in report.bars(counts.filter("n = 0"), "category", "n").collect()] == [0]
+    assert report.rendered([], "t").endswith("(no data)")
