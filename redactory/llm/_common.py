@@ -48,6 +48,12 @@ def there(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def bytes_at(spark: SparkSession, path: str) -> int:
+    """The bytes of the files below a path."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+
+
 def dropped(spark: SparkSession, path: str) -> None:
     """Deletes a folder of the shared storage that nothing reads any more."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -42,9 +42,11 @@ import zstandard as zstd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import dropped, shared_path, there, written
+from ._common import bytes_at, dropped, shared_path, there, written
 
 GRAM, RUN, SEGMENT = 16, 64, 1 << 19
+#: Bytes of replies that are sent to every task, so that the units they are for are not shuffled.
+SENT_BYTES = 48 << 20
 C1, C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -381,7 +383,8 @@ class SuffixIndex:
         told = spark.read.schema(CODES).parquet(codes).withColumn("new", F.lit(True))
         for level in self.levels:
             told = told.unionByName(dealt(self._codes(level), buckets).withColumn("new", F.lit(False)))
-        hits = written(told.groupBy("bucket").applyInArrow(_shared, "unit string, bucket int, new boolean, bits binary"), "hits")
+        hits_at, masks_at = shared_path(spark, "hits"), shared_path(spark, "masks")
+        hits = written(told.groupBy("bucket").applyInArrow(_shared, "unit string, bucket int, new boolean, bits binary"), "hits", hits_at)
 
         def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pack = zstd.ZstdCompressor(level=3)
@@ -436,15 +439,15 @@ class SuffixIndex:
                         col.append(x)
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in out[:4]), pa.array(out[4], pa.binary())], ["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-        def with_replies(folders: list[str], replies: DataFrame, how: str, *what: str) -> DataFrame:
+        def with_replies(folders: list[str], replies: DataFrame, at: str, how: str, *what: str) -> DataFrame:
             by_unit = replies.groupBy("unit").agg(F.collect_list(F.struct("bucket", *what)).alias("got"))
-            return self._units(folders).join(by_unit, "unit", how)
+            return self._units(folders).join(F.broadcast(by_unit) if bytes_at(spark, at) <= SENT_BYTES else by_unit.hint("merge"), "unit", how)
 
         every = [new, *(u for level in self.levels for u in level.units)]
-        runs = with_replies(every, hits, "inner", "new", "bits").mapInArrow(send, "bucket int, unit string, new boolean, n int, runs binary")
+        runs = with_replies(every, hits, hits_at, "inner", "new", "bits").mapInArrow(send, "bucket int, unit string, new boolean, n int, runs binary")
         masks = runs.groupBy("bucket").applyInArrow(settle, "unit string, bucket int, masks binary")
-        both = written(hits.filter("new").join(masks, ["unit", "bucket"]).select("unit", "bucket", "bits", "masks"), "masks")
-        return with_replies([new], both, "left", "bits", "masks").mapInArrow(cut, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
+        both = written(hits.filter("new").join(masks, ["unit", "bucket"]).select("unit", "bucket", "bits", "masks"), "masks", masks_at)
+        return with_replies([new], both, masks_at, "left", "bits", "masks").mapInArrow(cut, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def _told(length: int, buckets: int):
