@@ -11,8 +11,12 @@ MIN_MS, PAD_BEFORE, PAD_AFTER, GAP = 400.0, 0.150, 0.150, 0.1
 
 def padded(matches: DataFrame, durations: DataFrame, before: float = PAD_BEFORE, after: float = PAD_AFTER, min_ms: float = MIN_MS) -> DataFrame:
     """matches with start_time, end_time widened and held within (id, duration), and bleep_duration."""
-    m = matches.join(durations.select("id", "duration"), "id")
-    m = m.withColumns({"start_time": F.greatest(F.lit(0.0), F.col("start_time") - before), "end_time": F.least(F.col("duration"), F.col("end_time") + after)})
+    return held(matches.join(durations.select("id", "duration"), "id"), before, after, min_ms)
+
+
+def held(matches: DataFrame, before: float = PAD_BEFORE, after: float = PAD_AFTER, min_ms: float = MIN_MS) -> DataFrame:
+    """padded() of matches that have their conversation's duration beside them."""
+    m = matches.withColumns({"start_time": F.greatest(F.lit(0.0), F.col("start_time") - before), "end_time": F.least(F.col("duration"), F.col("end_time") + after)})
     return m.withColumn("bleep_duration", F.greatest(F.lit(min_ms), (F.col("end_time") - F.col("start_time")) * 1000) / 1000).drop("duration")
 
 
