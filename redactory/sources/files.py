@@ -152,8 +152,8 @@ def transcribe(files: DataFrame, model: Callable[..., Callable[[str, bytes], dic
 def pair_by_stem(asr: DataFrame, human: DataFrame) -> DataFrame:
     """ASR transcripts with the first human one (by path) of the same id: (id, reference, hypothesis), cleaned."""
     first = human.withColumn("_n", F.row_number().over(W.partitionBy("id").orderBy("path"))).filter("_n = 1").select("id", F.col("text").alias("human"))
-    hyp = clean_asr(F.col("segments"), F.col("redacted_text"), F.col("text"))
-    return asr.join(first, "id").select("id", clean_human(F.col("human")).alias("reference"), hyp.alias("hypothesis"))
+    heard = asr.select("id", clean_asr(F.col("segments"), F.col("redacted_text"), F.col("text")).alias("hypothesis"))  # words and times are not shuffled
+    return heard.join(first, "id").select("id", clean_human(F.col("human")).alias("reference"), "hypothesis")
 
 
 def to_fetch(listing: DataFrame, present: DataFrame, suffix: str = ".wav", contains: str = "", most: int = 50) -> DataFrame:

@@ -83,3 +83,12 @@ def test_verdicts_need_no_join(spark):
     told = spark.createDataFrame([("a", "I live in [CITY] or Boston"), ("b", ""), ("c", "Monday Tuesday Friday")], "id string, redacted_text string")
     df = verify.verify_text(told)
     assert "Join" not in plan(df) and {(r["id"], r["text_found"], r["text_status"]) for r in df.collect()} == {("a", 1, "REVIEW_REQUIRED"), ("b", 0, "PASS"), ("c", 3, "FAIL")}
+
+
+def test_paired_words_are_cleaned_before_they_are_shuffled(spark):
+    from redactory.sources.files import pair_by_stem
+
+    asr = spark.createDataFrame([("a", [{"text": "Hello, there"}], None, None)], "id string, segments array<struct<text:string>>, redacted_text string, text string")
+    df = pair_by_stem(asr, spark.createDataFrame([("a", "x", "Hello there!")], "id string, path string, text string"))
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert "hypothesis" in lines[next(k for k, x in enumerate(lines) if "Join" in x) + 1] and df.first()[1:] == ("hello there", "hello there")
