@@ -42,7 +42,8 @@ class Config:
 
 @dataclass
 class Result:
-    """words, matches and regions have the rows' keys as id; the others have the label as id and the key beside it."""
+    """words, matches and regions have the rows' keys as id; the others have the label as id and the key beside it. told is
+    results with redacted_text, which is null for a row that was not searched or whose masking failed."""
 
     words: DataFrame
     matches: DataFrame
@@ -50,6 +51,7 @@ class Result:
     regions: DataFrame
     verification: DataFrame
     results: DataFrame
+    told: DataFrame
 
 
 def by_key(rows: DataFrame) -> DataFrame:
@@ -79,15 +81,15 @@ def redact_transcripts(transcripts: DataFrame, config: Config | None = None, aga
     to be reviewed. found are the matches, where they are known, with keys as id."""
     config = config or Config()
     rows = keyed(transcripts).withColumn("_unfit", F.when(F.col("error").isNull(), unfit(F.col("segments"))))
-    labels = rows.select(F.col("key").alias("id"), F.col("id").alias("_label"))
-    labelled = lambda df: df.join(labels, "id").withColumnsRenamed({"id": "key", "_label": "id"})
-    rows = by_key(rows)
-    ok = rows.filter("error IS NULL AND _unfit IS NULL").drop("_unfit")
+    labelled = lambda df: df.withColumnsRenamed({"id": "key", "_label": "id"})
+    rows = by_key(rows.withColumn("_label", F.col("id")))
+    fit = F.col("error").isNull() & F.col("_unfit").isNull()
+    ok = rows.filter(fit).drop("_unfit")
     words = detect.words_of(ok)
-    matches = detect.detect(words, config.may_context) if found is None else found
-    segments = ok.select("id", F.posexplode_outer("segments").alias("seg", "_s")).filter("seg IS NOT NULL").select("id", "seg")
-    texts = redact.with_log(redact.redact_text(words, matches, segments), redact.redaction_log(matches, config.include_original))
-    texts = ok.select("id").join(texts, "id", "left").na.fill("", ["original_text", "redacted_text"]).na.fill(0, ["pii_count"])
+    rows = redact.in_place(rows, fit, found, config.may_context, config.include_original)
+    ok = rows.filter(fit)
+    matches = detect.matches_of(ok) if found is None else found
+    texts = ok.select("id", "_label", "original_text", "redacted_text", "masked", "redactions", "pii_count").withColumnRenamed("masked", "segments")
     spans = regions.bleep_regions(matches, ok.select("id", F.col("audio_duration").alias("duration")), before=config.pad_before, after=config.pad_after, min_ms=config.min_ms)
     heard = unheard = None
     if again is not None:
@@ -95,11 +97,17 @@ def redact_transcripts(transcripts: DataFrame, config: Config | None = None, aga
         heard = detect.words_of(again.filter("error IS NULL"))
         unheard = ok.select("id").join(again.select("id", F.coalesce("error", F.when(F.col("segments").isNull(), F.lit("no transcript"))).alias("error"), F.lit(True).alias("_came")), "id", "left")
         unheard = unheard.select("id", F.when(F.col("_came").isNull(), F.lit("no transcript")).otherwise(F.col("error")).alias("error")).filter("error IS NOT NULL")
-    checked = verify.verify(texts, heard, unheard)
+    checked = verify.verify(texts.select("id", "redacted_text"), heard, unheard).join(ok.select("id", "_label"), "id")
     if masked is not None:
         masked = by_key(masked)
-    spent = [t.select("id", F.col("seconds").alias(f"_s{k}")) for k, t in enumerate((rows, masked, again)) if t is not None and "seconds" in t.columns]
-    out = rows.select("id", "audio_duration", "error", "_unfit").join(texts.select("id", "pii_count"), "id", "left").join(checked.select("id", "overall_status"), "id", "left")
+    spent = [t.select("id", F.col("seconds").alias(f"_s{k}")) for k, t in enumerate((masked, again), 1) if t is not None and "seconds" in t.columns]
+    kept = ["id", "_label", "audio_duration", "error", "_unfit", "pii_count", "redacted_text"]
+    spent_here = [c for c in ("seconds",) if c in rows.columns]
+    out = verify.with_text_status(rows.select(*kept, *(F.col(c).alias("_s0") for c in spent_here)))
+    if again is None:  # what a row's text is worth is known beside it
+        out = out.withColumn("overall_status", verify.overall(F.col("text_status"), F.lit(None).cast("string")))
+    else:
+        out = out.join(verify.verify_audio(ok, heard, unheard), "id", "left").withColumn("overall_status", verify.overall(F.col("text_status"), F.col("audio_status")))
     if masked is not None:
         out = out.join(masked.filter("error IS NOT NULL").select("id", F.col("error").alias("_masking")), "id", "left")
     else:
@@ -109,8 +117,10 @@ def redact_transcripts(transcripts: DataFrame, config: Config | None = None, aga
     seconds = sum((F.coalesce(c, F.lit(0.0)) for c in out.columns if c.startswith("_s")), F.lit(0.0))
     stage = F.when(F.col("error").isNotNull(), "transcription").otherwise(F.coalesce("_unfit.stage", F.when(F.col("_masking").isNotNull(), "audio_redaction")))
     error = F.coalesce("error", "_unfit.error", "_masking")
-    out = out.select("id", error.isNull().alias("success"), stage.alias("stage"), error.alias("error"), F.coalesce("pii_count", F.lit(0)).alias("pii_count"), F.when(error.isNull(), F.col("overall_status")).alias("status"), F.col("audio_duration").alias("duration"), seconds.alias("processing_time_s"))
-    return Result(words, matches, labelled(texts), spans, labelled(checked), labelled(out).withColumnRenamed("id", "conversation_id"))
+    done = error.isNull()
+    out = out.select("id", "_label", done.alias("success"), stage.alias("stage"), error.alias("error"), F.coalesce("pii_count", F.lit(0)).alias("pii_count"), F.when(done, F.col("overall_status")).alias("status"), F.col("audio_duration").alias("duration"), seconds.alias("processing_time_s"), F.when(done, F.col("redacted_text")).alias("redacted_text"))
+    told = labelled(out).withColumnRenamed("id", "conversation_id")
+    return Result(words, matches, labelled(texts), spans, labelled(checked), told.drop("redacted_text"), told)
 
 
 def run(spark: SparkSession, audio_path: str, model: Callable, config: Config | None = None) -> Result:

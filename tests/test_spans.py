@@ -92,3 +92,11 @@ def test_paired_words_are_cleaned_before_they_are_shuffled(spark):
     df = pair_by_stem(asr, spark.createDataFrame([("a", "x", "Hello there!")], "id string, path string, text string"))
     lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
     assert "hypothesis" in lines[next(k for k, x in enumerate(lines) if "Join" in x) + 1] and df.first()[1:] == ("hello there", "hello there")
+
+
+def test_the_chain_ends_each_row_in_place(spark, tables):
+    """One join, with the parts; none of words, matches, texts or verdicts."""
+    df = q.chain_results(spark, tables)
+    p = plan(df)
+    assert p.count("Join") == 1 and "Window" not in p, p
+    assert df.filter("success AND pii_count > 0 AND redacted_text LIKE '%[COLOR]%'").count() == 100
