@@ -298,7 +298,7 @@ LEVEL = "units array<string>, codes string, n_bytes long, buckets int, high long
 class SuffixIndex:
     """A logarithmic family of levels below a path, which all executors share. Opened again, it goes on where it was."""
 
-    def __init__(self, spark: SparkSession, path: str | None = None, length: int = 50, unit_bytes: int = 2 << 20, bucket_bytes: int = 32 << 20, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, path: str | None = None, length: int = 50, unit_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20, buckets: int | None = None):
         if not GRAM < length < 1 << 15:
             raise ValueError(f"length must lie above {GRAM}")
         self.spark, self.path, self.length = spark, path or shared_path(spark, "suffixes"), length
@@ -479,7 +479,7 @@ def _by_bucket(row: dict, name: str) -> dict[int, bytes]:
     return {x["bucket"]: x[name] for x in row["got"] or ()}
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", unit_bytes: int = 2 << 20, buckets: int | None = None, batches: int = 2, index: SuffixIndex | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", unit_bytes: int = 4 << 20, buckets: int | None = None, batches: int = 2, index: SuffixIndex | None = None) -> DataFrame:
     """id, n_bytes, n_removed, n_spans long and kept binary (the bytes that stay) for every row of docs, which are added to a
     family in so many batches, cut at quantiles of the ids, those of smallest ids first; rows without an id go with the last."""
     index = index or SuffixIndex(docs.sparkSession, length=length, unit_bytes=unit_bytes, buckets=buckets)
