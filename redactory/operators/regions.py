@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -31,6 +33,39 @@ def merged(regions: DataFrame, gap: float = GAP) -> DataFrame:
     return out.withColumn("bleep_duration", F.greatest(F.lit(MIN_MS), (F.col("end_time") - F.col("start_time")) * 1000) / 1000)
 
 
+def _merged(starts: pa.Array, ends: pa.Array, durations: pa.Array, before: float, after: float, gap: float) -> pa.Array:
+    """held() and merged() of each list of times: array<struct<start_time, end_time, n_matches>>, by region."""
+    told = lambda a: a.to_numpy(zero_copy_only=False).astype(float)
+    row = np.repeat(np.arange(len(starts)), np.diff(starts.offsets.to_numpy()))
+    s, e = np.fmax(0.0, told(starts.flatten()) - before), np.fmin(told(durations)[row], told(ends.flatten()) + after)
+    kept = np.flatnonzero(e >= s)
+    kept = kept[np.lexsort((e[kept], s[kept], row[kept]))]
+    row, s, e = row[kept], s[kept], e[kept]
+    values, rank = np.unique(e, return_inverse=True)  # the largest end so far, by its rank, which each row lifts above all before
+    last = values[np.maximum.accumulate(rank + row * len(values)) % max(len(values), 1)]
+    opens = np.ones(len(row), bool)
+    opens[1:] = (row[1:] != row[:-1]) | (s[1:] > last[:-1] + gap)
+    first = np.flatnonzero(opens)
+    end = np.maximum.reduceat(e, first) if len(first) else e
+    columns = [pa.array(s[first]), pa.array(end), pa.array(np.diff(np.append(first, len(row))))]
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(row[first], np.arange(len(starts) + 1)), pa.int32()), pa.StructArray.from_arrays(columns, ["start_time", "end_time", "n_matches"]))
+
+
+def of_talks(talks: DataFrame, before: float = PAD_BEFORE, after: float = PAD_AFTER, gap: float = GAP) -> DataFrame:
+    """bleep_regions() of conversations (id, duration, words array<struct<word, start_time, end_time>>, spans, see
+    detect.spans), whose ids are unique: a conversation's regions are merged in its row."""
+
+    def run(starts: pa.Array, ends: pa.Array, durations: pa.Array) -> pa.Array:
+        return _merged(starts, ends, durations, before, after, gap)
+
+    starts = F.transform("spans", lambda m: F.get("words", m["word_idx"])["start_time"])
+    ends = F.transform("spans", lambda m: F.get("words", m["word_idx"] + m["n_words"] - 1)["end_time"])
+    merged_ = F.arrow_udf(run, "array<struct<start_time:double,end_time:double,n_matches:long>>").asNondeterministic()
+    r = talks.select("id", F.posexplode(merged_(starts, ends, F.col("duration"))).alias("region", "r"))
+    bleep = F.greatest(F.lit(MIN_MS), (F.col("r.end_time") - F.col("r.start_time")) * 1000) / 1000
+    return r.select("id", F.col("region").cast("long").alias("region"), "r.start_time", "r.end_time", "r.n_matches", bleep.alias("bleep_duration"))
+
+
 def with_matches(regions: DataFrame, padded_matches: DataFrame) -> DataFrame:
     """regions with matches: array<struct<start_time, end_time, text, category>> of the padded matches inside, in order
     of time. A merged region spans every match it was made of, and no other begins within it."""

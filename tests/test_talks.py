@@ -1,4 +1,4 @@
-"""Conversations gathered from segments against brute force and the operators of words."""
+"""Conversations gathered from segments, and regions merged in their rows, against brute force and the operators of words."""
 
 import random
 
@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_spans import ODD, plan, tables  # noqa: F401
 
-from redactory.operators import detect
+from redactory.operators import detect, regions
 from redactory.operators.talks import gathered
 from redactory.plans import queries as q
 
@@ -47,13 +47,33 @@ def test_spans_of_gathered_segments_are_those_of_rows(segments, how):
     assert all(r["spans"] == r["again"] for r in got) and sum(len(r["spans"]) for r in got) > 20
 
 
-SHARED = ["exact_category_counts", "months_said", "redacted_text", "fuzzy_matches", "exact_matches", "verify_text_status", "qa_summary", "status_counts", "manifest", "conversation_counts", "detect_all", "redaction_log"]
+def test_regions_in_rows_are_those_of_matches(spark):
+    rng = random.Random(5)
+
+    def word():
+        start = None if rng.random() < 0.03 else rng.choice([round(rng.random() * 20, 1), rng.random() * 20])
+        return "w", start, None if rng.random() < 0.03 else (start or 0.0) + rng.choice([-1.0, 0.0, 0.1, rng.random()])
+
+    rows = []
+    for k in range(150):
+        words = [word() for _ in range(rng.choice([1, 3, 12]))]
+        spans = [(i, min(rng.choice([1, 1, 2]), len(words) - i), "city", 1.0, False) for i in range(len(words)) if rng.random() < 0.6]
+        rows.append((k, words, spans, rng.choice([5.0, 21.0])))
+    t = spark.createDataFrame(rows, f"id int, words array<struct<word:string,start_time:double,end_time:double>>, spans {detect.SPANS}, duration double").repartition(3)
+    want = regions.bleep_regions(detect.matches_of(t), t.select("id", "duration"))
+    got = regions.of_talks(t)
+    assert {f.name: f.dataType for f in got.schema} == {f.name: f.dataType for f in want.schema}
+    told = lambda df: sorted(tuple(r[c] for c in want.columns) for r in df.collect())
+    assert told(got) == told(want) and got.count() > 200
+
+
+SHARED = ["exact_category_counts", "months_said", "redacted_text", "fuzzy_matches", "exact_matches", "verify_text_status", "qa_summary", "status_counts", "region_samples", "bleep_regions", "manifest", "conversation_counts", "detect_all", "redaction_log"]
 
 
 @pytest.mark.parametrize("name", SHARED)
 def test_line_items_are_dealt_once_as_they_are(spark, tables, name):  # noqa: F811
-    """One exchange by order of the fields a text is made of, sorted there; no lists are collected, and matches are not
-    shuffled or sorted."""
+    """One exchange by order of the fields a text is made of, sorted there; no lists are collected, and neither matches nor
+    regions are shuffled or sorted."""
     p = plan(q.QUERIES[name](spark, tables))
     assert "collect_list" not in p and "Window" not in p, p
     assert p.count("Exchange hashpartitioning(l_orderkey") == 1 and p.count("Sort [l_orderkey") == 1, p
