@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_spans import ODD, plan, tables  # noqa: F401
 
-from redactory.operators import detect, regions
+from redactory.operators import detect, regions, report
 from redactory.operators.talks import gathered
 from redactory.plans import queries as q
 
@@ -67,7 +67,14 @@ def test_regions_in_rows_are_those_of_matches(spark):
     assert told(got) == told(want) and got.count() > 200
 
 
-SHARED = ["exact_category_counts", "months_said", "redacted_text", "fuzzy_matches", "exact_matches", "verify_text_status", "qa_summary", "status_counts", "region_samples", "bleep_regions", "manifest", "conversation_counts", "detect_all", "redaction_log"]
+def test_counts_are_compared_in_one_pass(spark):
+    df = spark.createDataFrame([("a", True), ("a", False), ("a", False), ("b", True), ("c", False)], "k string, f boolean")
+    n = lambda c: df.filter(c).groupBy("k").agg(F.count("*").alias("value")).withColumnRenamed("k", "metric")
+    got = report.counts_compared(df, "k", F.col("f"))
+    assert sorted(got.collect()) == sorted(report.compared(n("f"), n("NOT f")).select(got.columns).collect()) == [("a", 1, 2, 1), ("b", 1, 0, -1), ("c", 0, 1, 1)]
+
+
+SHARED = ["exact_category_counts", "months_said", "redacted_text", "fuzzy_matches", "exact_matches", "verify_text_status", "qa_summary", "status_counts", "region_samples", "bleep_regions", "manifest", "before_after", "conversation_counts", "detect_all", "redaction_log"]
 
 
 @pytest.mark.parametrize("name", SHARED)
