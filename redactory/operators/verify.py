@@ -41,16 +41,16 @@ def _judged(ids: DataFrame, found: DataFrame, source: str) -> DataFrame:
 
 def with_text_status(redacted: DataFrame) -> DataFrame:
     """redacted (redacted_text and others) with text_status, text_found, text_note. Every finding of text mode is a sure one;
-    labels are no findings."""
+    labels are no findings. A text_found that is there already is kept."""
     leaked = lambda x: ~x["text"].startswith("[") & ~x["text"].endswith("]")
-    out = redacted.withColumn("text_found", F.size(F.filter(terms_in(F.col("redacted_text")), leaked)).cast("long"))
+    out = redacted if "text_found" in redacted.columns else redacted.withColumn("text_found", F.size(F.filter(terms_in(F.col("redacted_text")), leaked)).cast("long"))
     n = F.col("text_found")
     return out.withColumns({"text_status": status(n, n), "text_note": note(n, n, "text")})
 
 
 def verify_text(redacted: DataFrame) -> DataFrame:
-    """(id, text_status, text_found, text_note) of (id, redacted_text)."""
-    return with_text_status(redacted.select("id", "redacted_text")).select("id", "text_status", "text_found", "text_note")
+    """(id, text_status, text_found, text_note) of (id, redacted_text), or of (id, text_found)."""
+    return with_text_status(redacted.select("id", "text_found" if "text_found" in redacted.columns else "redacted_text")).select("id", "text_status", "text_found", "text_note")
 
 
 def verify_audio(ids: DataFrame, words_again: DataFrame, failures: DataFrame | None = None) -> DataFrame:
