@@ -26,7 +26,7 @@ def test_tasks_grow_with_the_line_items(spark, tables, name, monkeypatch):  # no
     p = plan(df)
     for key in ("l_orderkey", "l_partkey"):
         assert any(f"hashpartitioning({key}" in x and ", 10), REPARTITION_BY_NUM" in x for x in p.splitlines()), p
-    assert "ShuffledHashJoin" in p and "SortMergeJoin" not in p and df.count() > 0, p
+    assert "Sort [p_name" in p and "ShuffledHashJoin" in p and "SortMergeJoin" not in p and df.count() > 0, p
 
 
 @pytest.mark.parametrize("name", FOUND)
