@@ -56,6 +56,19 @@ def test_texts_ends_and_counts_are_those_of_words(segments):  # noqa: F811
         assert r["text_found"] == len([x for x in phrases.find(r["redacted_text"]) if x[0][0] != "["])
 
 
+def test_months_look_at_no_more_than_their_neighbours():
+    rng = random.Random(9)
+    for _ in range(3000):
+        ws = rng.choices(["may", "May's", "in", "", None, "3rd", "of", "2024", "until", "incomprehensibilities", "a"], k=rng.randint(1, 40))
+        for at in (k for k, w in enumerate(ws) if w and w[0] in "mM"):
+            first, end = rng.randint(0, at), rng.randint(at + 1, len(ws))
+            read, side = [], lambda a, b: " ".join(w for w in ws[a:b] if w is not None)
+            before = side(max(first, at - detect.AROUND - 1), at) + " " if at > first else ""
+            text = before + side(at, min(end, at + detect.AROUND + 2))
+            assert detect._said_month(lambda k: read.append(k) or ws[k], at, first, end) == detect.speaks_of_month(text, len(before), len(before) + 3), (ws, at)
+            assert len(read) < 45 and (None in ws or "" in ws or len(read) <= 24)
+
+
 def test_leaks_are_what_text_mode_finds():
     rng = random.Random(2)
     some = ["Red", "reſ", "teXas", "İ", "[CITY]", "new york", "new  york", "york", "predict", "blue_", "blue/green", "-", "\n", "café", "in May"]
