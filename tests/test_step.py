@@ -102,3 +102,33 @@ def test_line_items_keep_their_order_and_dates(spark, tmp_path, monkeypatch, man
     for r in q.carrier(spark, str(tmp_path)).orderBy("id", "seg").collect():
         want.setdefault(r["id"], []).append(r["text"] or "")
     assert {r["id"]: r["texts"] for r in q.talks(spark, str(tmp_path)).collect()} == want
+
+
+def nodes(plan):
+    """Of a plan that has been run, with what its stages ran."""
+    yield plan
+    name = plan.getClass().getSimpleName()
+    inner = [plan.executedPlan()] if name == "AdaptiveSparkPlanExec" else [plan.plan()] if name.endswith("QueryStageExec") else []
+    below = plan.children()
+    for p in [*inner, *(below.apply(k) for k in range(below.size()))]:
+        yield from nodes(p)
+
+
+def test_what_is_shuffled_grows_no_faster_than_the_line_items(spark, tmp_path, monkeypatch):
+    """Of each of the three, dealt by part as many parts are: as many bytes a line item at 4 times, and nothing is spilled."""
+    monkeypatch.setattr(talks, "A_TASK", 2500)
+    monkeypatch.setattr(q, "MANY_PARTS", 10)
+    for size in (1, 4):
+        n = 20_000 * size
+        spark.range(n).selectExpr("hash(id) & 262143 AS l_orderkey", "cast(id % 4 AS int) AS l_linenumber", f"pmod(hash(id, 1), {n // 30}) AS l_partkey", "pmod(hash(id, 2), 1000L) AS l_suppkey", "timestamp'2024-05-01' + make_dt_interval(pmod(hash(id, 3), 900)) AS l_shipdate").write.parquet(f"{tmp_path}/{size}/lineitem.parquet")
+        spark.range(n // 30).selectExpr("id AS p_partkey", "concat('part ', hash(id) & 63) AS p_name").write.parquet(f"{tmp_path}/{size}/part.parquet")
+    for name in ("fuzzy_matches", "exact_matches", "verify_text_status"):
+        a_line = {}
+        for size in (1, 4):
+            df = q.QUERIES[name](spark, f"{tmp_path}/{size}")
+            assert df.collect()
+            ran = list(nodes(df._jdf.queryExecution().executedPlan()))
+            told = lambda metric: sum(p.metrics().apply(metric).value() for p in ran if p.metrics().contains(metric))  # noqa: E731, B023
+            a_line[size] = told("shuffleBytesWritten") / (20_000 * size)
+            assert told("spillSize") == 0
+        assert 0 < a_line[4] <= 1.1 * a_line[1] and a_line[4] < 60, (name, a_line)
